@@ -129,13 +129,12 @@ def test_batch_folders_are_overwritten_on_retry(spark, tmp_path):
 
 
 def test_shared_folder_is_below_the_named_one(spark):
-    spark.conf.set("spark.checkpoint.dir", "/tmp/shared-somewhere")
-    try:
-        one, two = session.shared_folder(spark), session.shared_folder(spark)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert one.startswith("/tmp/shared-somewhere/") and one != two
-    assert not session.shared_folder(spark).startswith("/tmp/shared-somewhere/")
+    class Named:
+        conf = {"spark.checkpoint.dir": "hdfs://shared/somewhere"}
+
+    one, two = session.shared_folder(Named), session.shared_folder(Named)
+    assert one.startswith("hdfs://shared/somewhere/") and one != two
+    assert not session.shared_folder(spark).startswith("hdfs:")
 
 
 def test_topic_options():
