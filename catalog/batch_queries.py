@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from catalog import sql as S
 from catalog.registry import query
 from catalog.views import START_MS, Views
-from tidemark import schemas
+from tidemark import schemas, session
 from tidemark.functions import dates, numbers, text
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
 from tidemark.operators import (
     cdc, dedup, dimensions, feed_joins, joins, projections, running, scoring,
 )
-from tidemark.plans import flows
+from tidemark.plans import flows, jobs
 
 AS_OF = "2025-05-12"
 
@@ -512,17 +512,29 @@ def age_level_label(v: Views):
     return feed_joins.latest_age_levels(base2_feed(v), order_feed(v), hot_from=v.busy_users())
 
 
-@query(f"""SELECT b.*, "ageLevel" FROM (
+FINAL_LABEL = f"""SELECT b.*, "ageLevel" FROM (
              SELECT uid, "ageLevel", user_ts FROM (
                SELECT p.uid, {S.AGE_LEVEL} AS "ageLevel", u.ts_ms AS user_ts, row_number() OVER (
                  PARTITION BY p.uid ORDER BY p.ts_ms DESC, p.order_ts DESC, p.detail_id DESC, u.ts_ms DESC) AS rn
                FROM ({PAIR}) p JOIN base6 u
                  ON p.uid = u.uid AND u.ts_ms BETWEEN p.ts_ms - {24 * DAY_MS} AND p.ts_ms + {24 * DAY_MS})
-             WHERE rn = 1) l JOIN base6 b ON l.uid = b.uid AND l.user_ts = b.ts_ms""", "base2", "base4", "base6")
+             WHERE rn = 1) l JOIN base6 b ON l.uid = b.uid AND l.user_ts = b.ts_ms"""
+
+
+@query(FINAL_LABEL, "base2", "base4", "base6")
 def final_label_merge(v: Views):
     return flows.final_labels(base2_feed(v), order_feed(v), users_within(v, 5), hot_from=v.busy_users())
 
 
+@query(FINAL_LABEL, "base2", "base4", "base6")
+def staged_final_label(v: Views):
+    """The same labels with the feeds handed over as tables: each is made once and read by column."""
+    stages = jobs.Stages(session.shared_folder(v.spark))
+    for name, rows in (("base2", base2_feed(v)), ("base4", order_feed(v)), ("base6", users_within(v, 5))):
+        rows.write.parquet(stages.rows(name))
+    return jobs.write_labels(v.spark, stages)
+
+
 # --- Order sums per user ---------------------------------------------------------------------------------
 
 
@@ -550,13 +562,16 @@ SUM_VIEWS = ("base6_day", "order_sum", "base2")
 
 @query(f"SELECT * EXCLUDE (order_ts, order_id) FROM ({USER_SUM})", *SUM_VIEWS)
 def user_sum_interval_join_30h(v: Views):
-    return feed_joins.users_with_order_sums(users_within(v, 1), order_sums(v))
+    return feed_joins.users_with_order_sums(users_within(v, 1), order_sums(v), hot_from=v.order_users())
 
 
 @query(f"SELECT * EXCLUDE (order_ts, order_id, page_ts) FROM ({USER_PAGE})", *SUM_VIEWS)
 def user_sum_with_page_scores_12h(v: Views):
-    users = feed_joins.users_with_order_sums(users_within(v, 1), order_sums(v))
-    return feed_joins.users_with_page_scores(users, base2_feed(v))
+    order_users, page_users = v.order_users(), v.page_users()
+    users = feed_joins.users_with_order_sums(users_within(v, 1), order_sums(v), hot_from=order_users)
+    return feed_joins.users_with_page_scores(
+        users, base2_feed(v), hot_from=page_users, left_hot_from=order_users
+    )
 
 
 @query(f"""SELECT * EXCLUDE (order_ts, order_id, page_ts, rn) FROM (

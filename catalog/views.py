@@ -162,10 +162,11 @@ class Views:
         both = envelope(self.order_changes(), "order_info").unionByName(
             envelope(self.detail_changes(), "order_detail")
         )
-        return both.select(F.when(F.col("_key") % 97 == 0, F.substring("value", 1, 20)).otherwise(F.col("value")).alias("value"))
+        cut = F.when(F.col("_key") % 97 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+        return both.select(written_once(cut))
 
     def page_feed_text(self) -> DataFrame:
-        return self.page_logs().select(F.to_json(F.struct("common", "page", "ts")).alias("value"))
+        return self.page_logs().select(written_once(F.to_json(F.struct("common", "page", "ts"))))
 
     # Dimensions.
 
@@ -249,14 +250,23 @@ class Views:
 
     # Where to look for hot users without computing a feed.
 
-    def busy_users(self) -> DataFrame:
-        pages = self.table("events").select(
+    def page_users(self) -> DataFrame:
+        return self.table("events").select(
             F.col("user_id").cast("string").alias("uid"), wall_clock_millis(F.col("ts")).alias("_at")
         )
-        orders = self.table("orders").select(
+
+    def order_users(self) -> DataFrame:
+        return self.table("orders").select(
             F.col("o_custkey").cast("string").alias("uid"), order_time(F.col("o_orderkey")).alias("_at")
         )
-        return pages.unionByName(orders)
+
+    def busy_users(self) -> DataFrame:
+        return self.page_users().unionByName(self.order_users())
+
+
+def written_once(text: Column) -> Column:
+    """Text as ``value``, made once per row however often the reader's filters mention it."""
+    return F.explode(F.array(text)).alias("value")
 
 
 def order_time(key: Column) -> Column:

@@ -49,6 +49,11 @@ def test_hot_keys_are_found_hottest_first(left):
     assert skew.find_hot(left, "uid", 10_000) is None
 
 
+def test_hot_keys_in_a_sample(spark):
+    rows = spark.range(60_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    assert [r["k"] for r in skew.hot_keys(rows, "k", 10_000).collect()] == ["hot"]
+
+
 def test_chunks_follow_the_order(left):
     ranges = skew.find_hot_ranges(left, "uid", "ts_ms", 50)
     chunked = skew.with_chunk(left, ranges, "uid", "ts_ms")
@@ -86,8 +91,19 @@ def test_increasing_only(left, con, hot_rows):
 
 @pytest.mark.parametrize("hot_rows", [50, 10_000])
 @pytest.mark.parametrize("lower,upper", [(-100, 100), (0, 7), (-300, -20), (-5000, 5000)])
-def test_interval_join(left, right, con, hot_rows, lower, upper):
-    got = joins.hot_interval_join(left, right, "uid", lower, upper, hot_rows=hot_rows, salts=3)
+@pytest.mark.parametrize("sides", ["right", "left", "both"])
+def test_interval_join(left, right, con, hot_rows, lower, upper, sides):
+    """``sides`` says where the hot key is looked for; u1 is hot on the left in every case but the first."""
+    some = lambda df, *keys: df.filter(F.col("uid").isin(*keys)).withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(50))))
+
+    def hot_in(df):
+        if df is left:
+            return {"right": None, "left": some(left, "hot", "u1"), "both": some(left, "hot", "u1")}[sides]
+        return {"right": None, "left": some(right, "nobody"), "both": None}[sides]
+
+    got = joins.hot_interval_join(
+        left, right, "uid", lower, upper, hot_rows=hot_rows, salts=3, hot_from=hot_in(right), left_hot_from=hot_in(left)
+    )
     want = con.sql(f"""SELECT l.n, r.m FROM l JOIN r ON l.uid = r.uid
         AND r._right_ts BETWEEN l.ts_ms + {lower} AND l.ts_ms + {upper}""").fetchall()
     assert as_set(got, "n", "m") == sorted(want, key=repr)
@@ -149,7 +165,7 @@ def feeds(spark, seed):
 def test_latest_labels_are_the_last_pairs(spark, hot_rows):
     base2, base4 = feeds(spark, 5)
     base2 = base2.dropDuplicates(["uid", "ts_ms"])
-    pairs = feed_joins.age_level_pairs(base2, base4, 60).collect()
+    pairs = feed_joins.age_level_pairs(base2, base4, 60, hot_rows).collect()
     got = {r["uid"]: (r["ts_ms"], r["ageLevel"]) for r in feed_joins.latest_age_levels(base2, base4, 60, hot_rows).collect()}
     con = duckdb.connect()
     con.register("p", base2.toPandas())

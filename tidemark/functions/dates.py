@@ -70,11 +70,12 @@ def zodiac_sign(birthday: Column) -> Column:
 
 
 def pay_time_slot(millis: Column, zone: str = SHANGHAI) -> Column:
-    hour = F.hour(wall_clock(millis, zone))
-    slot = None
+    """Named part of the day, looked up by hour."""
+    names = []
     for end, name in V.PAY_TIME_SLOTS:
-        slot = F.when(hour < end, name) if slot is None else slot.when(hour < end, name)
-    return F.when(millis.isNotNull(), slot.otherwise(V.LAST_PAY_TIME_SLOT))
+        names += [name] * (end - len(names))
+    names += [V.LAST_PAY_TIME_SLOT] * (24 - len(names))
+    return F.get(F.array(*[F.lit(n) for n in names]), F.hour(wall_clock(millis, zone)))
 
 
 def datetime_to_millis(text: Column, offset_hours: int = 8) -> Column:

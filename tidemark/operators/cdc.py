@@ -15,8 +15,12 @@ SNAPSHOT = "r"
 
 
 def parse(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
-    """JSON text to typed columns; text that does not parse is dropped."""
-    return df.select(F.from_json(value, schema, {"mode": "PERMISSIVE"}).alias("_row")).select("_row.*")
+    """JSON text to typed columns; text that does not parse gives nulls.
+
+    ``inline`` keeps later filters above the parser. Pushed below a plain projection they would carry the
+    parser with them, and each text would be parsed once more per filter.
+    """
+    return df.select(F.inline(F.array(F.from_json(value, schema))))
 
 
 def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:

@@ -1,14 +1,14 @@
 """Removing repeated rows and keeping the latest ones.
 
-All but :func:`increasing_only` are hash or sort aggregates: copies are merged on the map side, so a
-large group of copies never travels whole.
+Choosing one row per key is a ``row_number() = 1`` filter. Spark limits each key to one row before the
+shuffle as well as after it, so a hot key or a large group of copies never travels whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import running, skew
@@ -18,15 +18,15 @@ def full_row(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def first_by(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
+    """The first row per key in the given order."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
 def by_key_and_time(df: DataFrame, key: str, time: str = "ts_ms") -> DataFrame:
     """One row per key and time: the smallest by all other columns."""
-    rest = [c for c in df.columns if c not in (key, time)]
-    return (
-        df.groupBy(key, time)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(key, time, "_row.*")
-        .select(*df.columns)
-    )
+    return first_by(df, [key, time], *[c for c in df.columns if c not in (key, time)])
 
 
 def first_in_event_order(df: DataFrame, key: str, time: str = "ts_ms", ties: Sequence[str] = ()) -> DataFrame:
@@ -34,12 +34,7 @@ def first_in_event_order(df: DataFrame, key: str, time: str = "ts_ms", ties: Seq
 
     Then a row passes exactly when it is the first of its key and time, so no running maximum is needed.
     """
-    order = F.struct(*ties, *[c for c in df.columns if c not in (key, time, *ties)])
-    return (
-        df.groupBy(key, time)
-        .agg(F.min_by(F.struct(*df.columns), order).alias("_row"))
-        .select("_row.*")
-    )
+    return first_by(df, [key, time], *ties, *[c for c in df.columns if c not in (key, time, *ties)])
 
 
 def increasing_only(
@@ -61,18 +56,10 @@ def increasing_only(
 def latest(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the largest ``order`` columns per key."""
     keys = [key] if isinstance(key, str) else list(key)
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row"))
-        .select("_row.*")
-    )
+    return first_by(df, keys, *[F.desc(c) for c in order])
 
 
 def earliest(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` columns per key."""
     keys = [key] if isinstance(key, str) else list(key)
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row"))
-        .select("_row.*")
-    )
+    return first_by(df, keys, *order)

@@ -1,4 +1,7 @@
-"""The interval joins between orders, details, users, pages and comments."""
+"""The interval joins between orders, details, users, pages and comments.
+
+In each, the right side is the one with many rows per key.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +22,7 @@ def _right(df: DataFrame, *columns) -> DataFrame:
 def orders_with_sku(orders: DataFrame, details: DataFrame, bound_ms: int = 30 * DAY_MS) -> DataFrame:
     """Narrow orders, each with the sku of every line in reach."""
     right = _right(details, "order_id", "sku_id")
-    return joins.interval_join(orders, right, "order_id", -bound_ms, bound_ms).drop(RIGHT_TIME)
+    return joins.hot_interval_join(orders, right, "order_id", -bound_ms, bound_ms).drop(RIGHT_TIME)
 
 
 def orders_with_details(orders: DataFrame, details: DataFrame, bound_ms: int = 2 * HOUR_MS) -> DataFrame:
@@ -37,7 +40,7 @@ def orders_with_details(orders: DataFrame, details: DataFrame, bound_ms: int = 2
         F.col("split_activity_amount").try_cast("double").alias("split_activity_amount"),
         F.col("split_total_amount").try_cast("double").alias("split_total_amount"),
     )
-    return joins.interval_join(orders, right, "id", -bound_ms, bound_ms).drop(RIGHT_TIME)
+    return joins.hot_interval_join(orders, right, "id", -bound_ms, bound_ms).drop(RIGHT_TIME)
 
 
 def users_with_supplement(users: DataFrame, supplements: DataFrame, bound_ms: int = 5 * DAY_MS) -> DataFrame:
@@ -59,13 +62,13 @@ def users_with_order_sums(
 
 def users_with_page_scores(
     users: DataFrame, scored_pages: DataFrame, bound_ms: int = 12 * HOUR_MS,
-    hot_rows: int = skew.HOT_ROWS, hot_from: DataFrame | None = None,
+    hot_rows: int = skew.HOT_ROWS, hot_from: DataFrame | None = None, left_hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Users with order sums, to which the scores of every page row in reach are added."""
     scores = scoring.score_columns("search") + scoring.score_columns("device")
     joined = joins.hot_interval_join(
         users, _right(scored_pages, "uid", *scores), "uid", -bound_ms, bound_ms,
-        hot_rows=hot_rows, hot_from=hot_from,
+        hot_rows=hot_rows, hot_from=hot_from, left_hot_from=left_hot_from,
     )
     return add_page_scores_to_sums(joined).drop(RIGHT_TIME, *scores)
 
@@ -80,14 +83,19 @@ def comments_with_orders(
     comments: DataFrame, orders: DataFrame, key: str, lower_ms: int, upper_ms: int
 ) -> DataFrame:
     """Comments, each with every order in reach, order columns prefixed with ``info_``."""
-    right = joins.prefixed(orders, "info_").withColumn(key, F.col(f"info_{key}"))
-    return joins.interval_join(comments, right, key, lower_ms, upper_ms, right_time="info_ts_ms")
+    info = joins.prefixed(orders, "info_").withColumn(key, F.col(f"info_{key}"))
+    joined = joins.hot_interval_join(info, comments, key, -upper_ms, -lower_ms, "info_ts_ms", "ts_ms")
+    return joined.select(*comments.columns, *[f"info_{c}" for c in orders.columns])
 
 
-def age_level_pairs(base2: DataFrame, base4: DataFrame, bound_ms: int = 24 * DAY_MS) -> DataFrame:
+def age_level_pairs(
+    base2: DataFrame, base4: DataFrame, bound_ms: int = 24 * DAY_MS, hot_rows: int = skew.HOT_ROWS
+) -> DataFrame:
     """uid, ts_ms and ageLevel of every page row and order row in reach of each other."""
     scores = [c for p in ("pay_time", "b1name", "tname", "amount") for c in scoring.score_columns(p)]
-    pairs = joins.hot_interval_join(base2, _right(base4, "uid", *scores), "uid", -bound_ms, bound_ms)
+    pairs = joins.hot_interval_join(
+        base2, _right(base4, "uid", *scores), "uid", -bound_ms, bound_ms, hot_rows=hot_rows, left_hot_from=base2
+    )
     return pairs.select("uid", "ts_ms", scoring.age_level().alias("ageLevel"))
 
 
@@ -161,7 +169,8 @@ def latest_user_sums(
         users,
         {
             "order_row": (
-                scored_orders.select("uid", "ts_ms", "order_id", "sku_id", *sums), "ts_ms", -order_bound_ms, order_bound_ms,
+                scored_orders.select("uid", "ts_ms", "order_id", "sku_id", *sums),
+                "ts_ms", -order_bound_ms, order_bound_ms,
             ),
             "page_row": (scored_pages.select("uid", "ts_ms", *scores), "ts_ms", -page_bound_ms, page_bound_ms),
         },

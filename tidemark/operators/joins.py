@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import running, skew
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def interval_join(
@@ -23,9 +24,7 @@ def interval_join(
 ) -> DataFrame:
     """Every pair with equal key and left + lower <= right <= left + upper (both inclusive).
 
-    ``right`` brings its own time column name; all other right columns must differ from the left's. For
-    keys with naturally small groups, such as an order id: one shuffle a side, and AQE splits a partition
-    that turns out skewed.
+    ``right`` brings its own time column name; all other right columns must differ from the left's.
     """
     gap = F.col(right_time) - F.col(left_time)
     return left.join(right, key).filter(gap.between(lower_ms, upper_ms))
@@ -41,15 +40,38 @@ def hot_interval_join(
     right_time: str = "_right_ts",
     hot_rows: int = skew.HOT_ROWS,
     hot_from: DataFrame | None = None,
+    left_hot_from: DataFrame | None = None,
     salts: int = skew.SALTS,
 ) -> DataFrame:
-    """:func:`interval_join` for keys that may be hot on the right, such as a user's orders or pages.
+    """:func:`interval_join` for keys that may be hot on the right, or with ``left_hot_from`` on either side.
 
-    Under a hot key the right side is cut into time cells as wide as the interval, so a left row meets
-    only the two cells its interval touches instead of the key's whole history, and each cell is salted.
-    Every right row is in one cell and one salt, so each pair comes out once. Other keys use one cell.
+    Under a hot key the hot side is cut into time cells as wide as the interval, so a row of the other side
+    meets only the two cells its interval touches instead of the key's whole history, and each cell is
+    salted. Every row of the hot side is in one cell and one salt, so each pair comes out once. Other keys
+    use one cell.
+
+    ``hot_from`` and ``left_hot_from`` are cheaper tables to look for hot keys in.
     """
+    bounds = (lower_ms, upper_ms, left_time, right_time)
     hot = skew.find_hot(right if hot_from is None else hot_from, key, hot_rows)
+    left_hot = None if left_hot_from is None else skew.find_hot(left_hot_from, key, hot_rows)
+    if left_hot is None:
+        return _split_right(left, right, key, *bounds, hot, salts)
+    if hot is not None:
+        left_hot = left_hot.join(F.broadcast(hot), key, "left_anti")
+    keys = F.broadcast(left_hot.select(key))
+    swapped = _split_right(
+        right.join(keys, key, "left_semi"), left.join(keys, key, "left_semi"), key,
+        -upper_ms, -lower_ms, right_time, left_time, left_hot, salts,
+    )
+    rest = _split_right(left.join(keys, key, "left_anti"), right.join(keys, key, "left_anti"), key, *bounds, hot, salts)
+    return rest.unionByName(swapped)
+
+
+def _split_right(
+    left: DataFrame, right: DataFrame, key: str, lower_ms: int, upper_ms: int, left_time: str, right_time: str,
+    hot: DataFrame | None, salts: int,
+) -> DataFrame:
     if hot is None:
         return interval_join(left, right, key, lower_ms, upper_ms, left_time, right_time)
     hot = F.broadcast(hot)
@@ -123,9 +145,13 @@ def latest_within(
     return known.select("_left.*", *picked)
 
 
-def small_enough(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count up to ``max_rows + 1`` rows of a dimension: the check in front of a broadcast."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def small_enough(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Count rows and bytes of a dimension, up to one row over the limit: the check before a broadcast."""
+    width = F.lit(0)
+    for column in dim.columns:
+        width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    rows, size = dim.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def lookup_join(

@@ -138,41 +138,37 @@ def order_statistics(
     return done.select("user_id", "op", *[sorted_csv(F.col(f)).alias(f) for f in columns])
 
 
-def page_window_snapshots(pages: DataFrame, window_ms: int, ties: Sequence[str] = ()) -> DataFrame:
+def page_window_snapshots(pages: DataFrame, window_ms: int) -> DataFrame:
     """The last running page statistics of each user in each tumbling window.
 
-    Equal to ``last_per_window(page_statistics(...))``, but rows are reduced to one per user and window
-    before anything runs in order, so a user has at most one row per window however busy they are.
-    A value counts only in the window where it is first seen, so each value is carried once.
+    Equal to ``last_per_window(page_statistics(...))``, but pages are first counted per user, window and
+    device, combined before the shuffle. What then runs in order per user is at most that user's windows
+    times devices, however busy they are.
     """
     fields = ("os", "ch", "md", "ba")
     start = (F.floor(F.col("ts") / window_ms) * window_ms).cast("bigint")
-    flat = pages.select(
-        "uid", start.alias("window_start"), "ts",
-        *[device_value(f).alias(f) for f in fields], "search_item",
+    counted = (
+        pages.select(
+            "uid", start.alias("window_start"), "ts", *[device_value(f).alias(f) for f in fields], "search_item"
+        )
+        .groupBy("uid", "window_start", *fields, "search_item")
+        .agg(F.count("*").alias("_views"), F.max("ts").alias("ts"))
     )
+    # A RANGE frame takes in the whole current window, so all its rows get the same values.
+    so_far = Window.partitionBy("uid").orderBy("window_start").rangeBetween(Window.unboundedPreceding, 0)
+    first = F.row_number().over(Window.partitionBy("uid", "window_start").orderBy("window_start"))
     names = (*fields, "search_item")
-    per_window = flat.groupBy("uid", "window_start").agg(
-        F.count("*").alias("_views"), F.max("ts").alias("ts"),
-    )
-    values = flat.select(
-        "uid", "window_start",
-        F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])).alias("v"),
-    ).select("uid", "window_start", "v.name", "v.value").filter(F.col("value").isNotNull())
-    first_seen = values.groupBy("uid", "name", "value").agg(F.min("window_start").alias("window_start"))
-    new_values = first_seen.groupBy("uid", "window_start").agg(
-        *[F.collect_list(F.when(F.col("name") == n, F.col("value"))).alias(f"_new_{n}") for n in names]
-    )
-    so_far = Window.partitionBy("uid").orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    carried = lambda n: F.flatten(
-        F.collect_list(F.when(F.size(f"_new_{n}") > 0, F.col(f"_new_{n}"))).over(so_far)
-    )
-    return per_window.join(new_values, ["uid", "window_start"], "left").select(
-        "uid",
-        "window_start",
-        F.sum("_views").over(so_far).alias("pv"),
-        *[sorted_csv(carried(n)).alias(n) for n in names],
-        "ts",
+    return (
+        counted.select(
+            "uid",
+            "window_start",
+            F.sum("_views").over(so_far).alias("pv"),
+            *[F.collect_set(n).over(so_far).alias(n) for n in names],
+            F.max("ts").over(so_far).alias("ts"),
+        )
+        .withColumn("_first", first)
+        .filter("_first = 1")
+        .select("uid", "window_start", "pv", *[sorted_csv(F.col(n)).alias(n) for n in names], "ts")
     )
 
 
@@ -181,10 +177,10 @@ def last_per_window(
 ) -> DataFrame:
     """The last row of each key in each tumbling event-time window."""
     start = (F.floor(F.col(time) / window_ms) * window_ms).cast("bigint")
-    row = F.max_by(F.struct(*df.columns), F.struct(time, *ties))
+    latest_first = Window.partitionBy(key, "window_start").orderBy(*[F.desc(c) for c in (time, *ties)])
     return (
         df.withColumn("window_start", start)
-        .groupBy(key, "window_start")
-        .agg(row.alias("_row"))
-        .select("_row.*", "window_start")
+        .withColumn("_place", F.row_number().over(latest_first))
+        .filter("_place = 1")
+        .drop("_place")
     )

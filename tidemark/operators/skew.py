@@ -1,13 +1,13 @@
 """Finding and splitting hot keys.
 
 One key may hold a large share of all rows. ``find_hot`` asks the data for the keys above a row count, at
-most ``MAX_HOT_KEYS`` of them, hottest first: one column-pruned count with map-side combining, and a
-result of bounded size. When there are none, the operators built on it use their plain plan.
+most ``MAX_HOT_KEYS`` of them, hottest first. When there are none, the operators built on it use their
+plain plan.
 
-The list only steers how rows are spread over tasks and never which rows come out, so bounding it loses
-nothing: a key that is not on a full list holds less than 1/MAX_HOT_KEYS of the rows. The bound is also
-what makes the list safe to broadcast. For the same reason a list may come from any cheaper table with
-the same keys, such as the raw log behind a feed.
+The list only steers how rows are spread over tasks and never which rows come out. So it is safe to bound
+it (a key that is not on a full list holds less than 1/MAX_HOT_KEYS of the rows), to find it in a sample
+of one column, to take it from any cheaper table with the same keys, such as the raw log behind a feed,
+and to broadcast it. It is found once per join, before the join is planned, so both sides use one list.
 """
 
 from __future__ import annotations
@@ -19,15 +19,23 @@ HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1024
 MAX_CHUNKS = 1024
 SALTS = 16
+SAMPLED_ROWS = 2_000
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, position: str | None = None) -> DataFrame:
-    """The hottest keys of ``df``; with ``position``, also its range within each key."""
+    """The hottest keys of ``df``; with ``position``, also its range within each key.
+
+    Rows are counted in a sample in which a key of ``min_rows`` has about ``SAMPLED_ROWS``.
+    """
+    fraction = min(1.0, SAMPLED_ROWS / min_rows)
+    columns = [key] if position is None else [key, position]
     extra = [] if position is None else [F.min(position).alias("_low"), F.max(position).alias("_high")]
+    rows = df.select(*columns).filter(F.col(key).isNotNull())
+    if fraction < 1:
+        rows = rows.sample(fraction, seed=1)
     return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("_rows"), *extra)
+        rows.groupBy(key)
+        .agg((F.count("*") / F.lit(fraction)).alias("_rows"), *extra)
         .filter(F.col("_rows") >= min_rows)
         .orderBy(F.desc("_rows"), F.col(key))
         .limit(MAX_HOT_KEYS)
