@@ -5,8 +5,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, dimensions
-from tidemark.plans import jobs
+from tidemark.operators import cdc, dimensions, feed_joins
+from tidemark.plans import flows, jobs
 from tidemark.sources import feeds
 
 DAY = 86_400_000
@@ -21,7 +21,7 @@ def lines():
     rows = []
     for uid in range(1, 5):
         rows.append(change("user_info", {"id": str(uid), "name": f"n{uid}", "birthday": 9000 + uid, "gender": None}, T0 + uid))
-        rows.append(change("user_info_sup_msg", {"uid": str(uid), "height": "170", "weight": "60"}, T0 + 2 * DAY))
+        rows.append(change("user_info_sup_msg", {"uid": str(uid), "height": "170", "weight": "60"}, T0 + uid // 3 * 2 * DAY))
         for n in range(2):
             order, at = f"{uid}{n}", T0 + n * DAY
             rows.append(change("order_info", {"id": order, "user_id": str(uid), "create_time": at, "total_amount": 500.0 * uid}, at))
@@ -84,6 +84,25 @@ def test_streams_give_the_labels_of_the_batch_jobs(spark, tmp_path):
     got = newest.select("r.*").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
+    names = spark.createDataFrame([(0, "性价比", "苹果"), (1, "学习与发展", "联想")], "sku_id BIGINT, bcname STRING, btname STRING")
+    other = spark.createDataFrame([("10", "长粒香", "科技与数码")], "order_id STRING, base_trademark_name STRING, base_category_name STRING")
+    jobs.start_user_sums(captured, names, other, stages, "2025-05-12", None).awaitTermination()
+    summed = spark.read.parquet(stages.rows("user_sums"))
+    envelopes = cdc.parse_envelope(read("changes"))
+    table = lambda name: cdc.table(envelopes, name)
+    sums = flows.order_sums(table("order_info"), table("order_detail"), names, other)
+    users = feed_joins.users_with_order_sums(
+        flows.user_feed(table("user_info"), table("user_info_sup_msg"), "2025-05-12", DAY), sums
+    )
+    pairs = feed_joins.users_with_page_scores(users, spark.read.parquet(batch.rows("base2")))
+    assert summed.count() == summed.select("uid").distinct().count() == 2
+    assert summed.select(*pairs.columns).exceptAll(pairs).count() == 0
+    latest = flows.user_sums(
+        flows.user_feed(table("user_info"), table("user_info_sup_msg"), "2025-05-12", DAY), sums,
+        spark.read.parquet(batch.rows("base2")),
+    )
+    assert latest.select(*pairs.columns).exceptAll(pairs).count() == 0 and latest.count() == 2
+
     base4 = spark.read.parquet(stages.rows("base4"))
     assert base4.count() == spark.read.parquet(batch.rows("base4")).count() == 8
     merged = jobs.merge_feeds({
