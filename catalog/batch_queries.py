@@ -209,8 +209,8 @@ def page_running_pv_sets(v: Views):
 
 @query("SELECT * FROM snapshot", "snapshot")
 def page_window_last_snapshot(v: Views):
-    pages = dedup.full_row(projections.with_uid(projections.page(v.page_logs())))
-    return running.page_window_snapshots(pages, 2 * MINUTE_MS)
+    pages = projections.with_uid(projections.page(v.page_logs()))
+    return running.page_window_snapshots(dedup.full_row(pages), 2 * MINUTE_MS, hot_from=pages)
 
 
 @query(f"""SELECT uid, window_start, ts, event_id, ch FROM (
@@ -247,11 +247,6 @@ def order_running_sets(v: Views):
 # --- Page scores -----------------------------------------------------------------------------------------
 
 
-def snapshots(v: Views):
-    pages = dedup.full_row(projections.with_uid(projections.page(v.page_logs())))
-    return running.page_window_snapshots(pages, 2 * MINUTE_MS)
-
-
 def keywords(v: Views):
     return dimensions.keyword_categories(v.name_categories(), v.comparison())
 

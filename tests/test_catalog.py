@@ -5,6 +5,7 @@ from compare import differences
 from conftest import DATA
 
 import __spark_entry__ as entry
+from tidemark.operators import joins, skew
 
 QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
 
@@ -30,3 +31,20 @@ def test_results_do_not_depend_on_the_session_zone(spark, db, name, zone):
         assert differences(QUERIES[name](spark, DATA), db, CHECKS[name]) == []
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+FORCED = [
+    "page_running_pv_sets", "page_window_last_snapshot", "order_running_sets", "user_monotone_dedup", "base2_feed",
+    "order_detail_interval_join_2h", "order_detail_interval_join_30d", "sku_enrich_lookup",
+    "order_category_left_chain", "base4_feed", "user_sup_interval_join", "age_level_label", "final_label_merge",
+    "user_sum_interval_join_30h", "user_sum_with_page_scores_12h", "user_latest_only", "dim_lookup_left",
+    "comment_order_prefix_join", "cdc_route_columns",
+]
+
+
+@pytest.mark.parametrize("name", FORCED)
+def test_query_with_every_key_split_and_nothing_broadcast(spark, db, name, monkeypatch):
+    """The paths for hot keys and large dimensions give the same rows, whole queries composed of them too."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    assert differences(QUERIES[name](spark, DATA), db, CHECKS[name]) == []

@@ -190,9 +190,10 @@ def test_page_snapshots_equal_running_rows(spark):
     )
     every = running.page_statistics(pages, ["n"], hot_rows=30)
     last = running.last_per_window(every, "uid", "ts", 120, ["n"]).drop("n")
-    fused = running.page_window_snapshots(pages, 120)
-    columns = sorted(fused.columns)
-    assert as_set(fused, *columns) == as_set(last, *columns)
+    for hot_rows in (30, 10_000):
+        fused = running.page_window_snapshots(pages, 120, hot_rows)
+        columns = sorted(fused.columns)
+        assert as_set(fused, *columns) == as_set(last, *columns)
     plain = running.page_statistics(pages, ["n"], hot_rows=10_000)
     assert as_set(every, *plain.columns) == as_set(plain, *plain.columns)
 

@@ -43,7 +43,7 @@ def increasing_only(
     time: str,
     arrival: str,
     ties: Sequence[str] = (),
-    hot_rows: int = skew.HOT_ROWS,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose ``time`` is above that of every earlier arrival of their key."""

@@ -59,15 +59,22 @@ def order_categories(
     )
 
 
-def enrich_by_sku(lines: DataFrame, sku_dim: DataFrame, categories: DataFrame) -> DataFrame:
-    """Add c3id and tname by sku, then b1_name by third-level category; the first match of each counts."""
+def enrich_by_sku(
+    lines: DataFrame, sku_dim: DataFrame, categories: DataFrame, hot_from: DataFrame | None = None
+) -> DataFrame:
+    """Add c3id and tname by sku, then b1_name by third-level category; the first match of each counts.
+
+    ``hot_from`` is a cheaper table with ``sku_id`` to look for hot skus in, should the sku table be large.
+    """
     first_sku = dedup.earliest(sku_dim.select("skuid", "spuid", "c3id", "tname"), "skuid", ["spuid", "c3id", "tname"])
+    sku = F.col("sku_id").cast("string").alias("_sku")
     by_sku = joins.lookup_join(
-        lines.withColumn("_sku", F.col("sku_id").cast("string")),
+        lines.select("*", sku),
         first_sku.select(
             F.col("skuid").cast("string").alias("_sku"), F.col("c3id").cast("string").alias("c3id"), "tname"
         ),
         "_sku",
+        hot_from=(lines if hot_from is None else hot_from).select(sku),
     ).drop("_sku")
     first_category = dedup.earliest(
         categories.select(F.col("id").cast("string").alias("c3id"), F.col("b1name").alias("b1_name")),

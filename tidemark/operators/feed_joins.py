@@ -51,7 +51,7 @@ def users_with_supplement(users: DataFrame, supplements: DataFrame, bound_ms: in
 
 def users_with_order_sums(
     users: DataFrame, scored_orders: DataFrame, bound_ms: int = 30 * HOUR_MS,
-    hot_rows: int = skew.HOT_ROWS, hot_from: DataFrame | None = None,
+    hot_rows: int | None = None, hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Users, each with the ``sum_*`` scores of every order in reach."""
     right = _right(scored_orders, "uid", *scoring.score_columns("sum"))
@@ -62,7 +62,7 @@ def users_with_order_sums(
 
 def users_with_page_scores(
     users: DataFrame, scored_pages: DataFrame, bound_ms: int = 12 * HOUR_MS,
-    hot_rows: int = skew.HOT_ROWS, hot_from: DataFrame | None = None, left_hot_from: DataFrame | None = None,
+    hot_rows: int | None = None, hot_from: DataFrame | None = None, left_hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Users with order sums, to which the scores of every page row in reach are added."""
     scores = scoring.score_columns("search") + scoring.score_columns("device")
@@ -89,7 +89,7 @@ def comments_with_orders(
 
 
 def age_level_pairs(
-    base2: DataFrame, base4: DataFrame, bound_ms: int = 24 * DAY_MS, hot_rows: int = skew.HOT_ROWS
+    base2: DataFrame, base4: DataFrame, bound_ms: int = 24 * DAY_MS, hot_rows: int | None = None
 ) -> DataFrame:
     """uid, ts_ms and ageLevel of every page row and order row in reach of each other."""
     scores = [c for p in ("pay_time", "b1name", "tname", "amount") for c in scoring.score_columns(p)]
@@ -103,7 +103,7 @@ def latest_age_levels(
     base2: DataFrame,
     base4: DataFrame,
     bound_ms: int = 24 * DAY_MS,
-    hot_rows: int = skew.HOT_ROWS,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """The last of each user's :func:`age_level_pairs`, without forming the pairs.
@@ -129,7 +129,7 @@ def latest_labels(
     base4: DataFrame,
     base6: DataFrame,
     bound_ms: int = 24 * DAY_MS,
-    hot_rows: int = skew.HOT_ROWS,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Each user's last label row: base6 with ageLevel, base6 columns winning equal names.
@@ -159,7 +159,7 @@ def latest_user_sums(
     scored_pages: DataFrame,
     order_bound_ms: int = 30 * HOUR_MS,
     page_bound_ms: int = 12 * HOUR_MS,
-    hot_rows: int = skew.HOT_ROWS,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Each user's last row of users with order sums and page scores, without forming the pairs."""

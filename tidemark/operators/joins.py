@@ -38,7 +38,7 @@ def hot_interval_join(
     upper_ms: int,
     left_time: str = "ts_ms",
     right_time: str = "_right_ts",
-    hot_rows: int = skew.HOT_ROWS,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
     left_hot_from: DataFrame | None = None,
     salts: int = skew.SALTS,
@@ -107,7 +107,7 @@ def latest_within(
     rights: dict[str, tuple[DataFrame, str, int, int]],
     key: str,
     left_time: str = "ts_ms",
-    hot_rows: int = skew.HOT_ROWS,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per left row, the latest row of each right side in its interval, as one struct column per side.
@@ -145,8 +145,9 @@ def latest_within(
     return known.select("_left.*", *picked)
 
 
-def small_enough(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+def small_enough(dim: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Count rows and bytes of a dimension, up to one row over the limit: the check before a broadcast."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     width = F.lit(0)
     for column in dim.columns:
         width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
@@ -160,8 +161,8 @@ def lookup_join(
     on: str,
     columns: Sequence[str] | None = None,
     prefix: str = "",
-    max_broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = skew.HOT_ROWS,
+    max_broadcast_rows: int | None = None,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add dimension columns by key; rows without a match pass with nulls. ``dim`` is unique by ``on``.
@@ -180,7 +181,7 @@ def lookup_join(
 
 
 def keep_left_join(
-    left: DataFrame, right: DataFrame, key: str, hot_rows: int = skew.HOT_ROWS, hot_from: DataFrame | None = None
+    left: DataFrame, right: DataFrame, key: str, hot_rows: int | None = None, hot_from: DataFrame | None = None
 ) -> DataFrame:
     """Left outer join whose right side may have hot keys.
 

@@ -37,6 +37,15 @@ def running_count() -> Running:
     )
 
 
+def running_sum(value: Column) -> Running:
+    return Running(
+        inside=lambda w: F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        total=F.sum(value),
+        over_totals=lambda total, w: F.sum(total).over(w),
+        together=lambda before, here: F.coalesce(before, F.lit(0)) + here,
+    )
+
+
 def running_set(value: Column) -> Running:
     """Distinct non-null values so far, unsorted."""
     return Running(
@@ -57,6 +66,15 @@ def earlier_max(value: Column) -> Running:
     )
 
 
+def latest_time(time: str) -> Running:
+    return Running(
+        inside=lambda w: F.max(time).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        total=F.max(time),
+        over_totals=lambda total, w: F.max(total).over(w),
+        together=lambda before, here: F.greatest(before, here),
+    )
+
+
 def last_known(value: Column, order: Sequence[str]) -> Running:
     """Latest non-null value so far, this row included."""
     return Running(
@@ -67,13 +85,23 @@ def last_known(value: Column, order: Sequence[str]) -> Running:
     )
 
 
+def last_of_position(position: str) -> Running:
+    """Whether the next row of the key has another position. A position is never split over chunks."""
+    return Running(
+        inside=lambda w: F.coalesce(F.lead(position).over(w) != F.col(position), F.lit(True)),
+        total=F.count("*"),
+        over_totals=lambda total, w: F.sum(total).over(w),
+        together=lambda before, here: here,
+    )
+
+
 def with_running(
     df: DataFrame,
     key: str,
     position: str,
     ties: Sequence[str],
     columns: dict[str, Running],
-    hot_rows: int = skew.HOT_ROWS,
+    hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add running ``columns`` per ``key``, in the order of ``position`` (a number) and then ``ties``.
@@ -108,7 +136,7 @@ def device_value(field: str) -> Column:
 
 
 def page_statistics(
-    pages: DataFrame, ties: Sequence[str] = (), hot_rows: int = skew.HOT_ROWS
+    pages: DataFrame, ties: Sequence[str] = (), hot_rows: int | None = None
 ) -> DataFrame:
     """Running page views and distinct devices and keywords per user, as comma lists; one row per page."""
     fields = ("os", "ch", "md", "ba")
@@ -124,7 +152,7 @@ def page_statistics(
 
 
 def order_statistics(
-    orders: DataFrame, position: str, ties: Sequence[str] = (), hot_rows: int = skew.HOT_ROWS
+    orders: DataFrame, position: str, ties: Sequence[str] = (), hot_rows: int | None = None
 ) -> DataFrame:
     """Running distinct order fields per user, as comma lists; rows without ``op`` are left out."""
     fields = ("ts_ms", "total_amount", "create_time", "id")
@@ -138,38 +166,31 @@ def order_statistics(
     return done.select("user_id", "op", *[sorted_csv(F.col(f)).alias(f) for f in columns])
 
 
-def page_window_snapshots(pages: DataFrame, window_ms: int) -> DataFrame:
+def page_window_snapshots(
+    pages: DataFrame, window_ms: int, hot_rows: int | None = None, hot_from: DataFrame | None = None
+) -> DataFrame:
     """The last running page statistics of each user in each tumbling window.
 
-    Equal to ``last_per_window(page_statistics(...))``, but pages are first counted per user, window and
-    device, combined before the shuffle. What then runs in order per user is at most that user's windows
-    times devices, however busy they are.
+    Equal to ``last_per_window(page_statistics(...))``, but pages are first counted per user, window,
+    device and keyword, combined before the shuffle, so that only these counts run in order. ``hot_from``
+    is a cheaper table with ``uid`` and ``ts`` to look for hot users in.
     """
-    fields = ("os", "ch", "md", "ba")
-    start = (F.floor(F.col("ts") / window_ms) * window_ms).cast("bigint")
+    fields = ("os", "ch", "md", "ba", "search_item")
+    start = (F.floor(F.col("ts") / window_ms) * window_ms).cast("bigint").alias("window_start")
     counted = (
-        pages.select(
-            "uid", start.alias("window_start"), "ts", *[device_value(f).alias(f) for f in fields], "search_item"
-        )
-        .groupBy("uid", "window_start", *fields, "search_item")
-        .agg(F.count("*").alias("_views"), F.max("ts").alias("ts"))
-    )
-    # A RANGE frame takes in the whole current window, so all its rows get the same values.
-    so_far = Window.partitionBy("uid").orderBy("window_start").rangeBetween(Window.unboundedPreceding, 0)
-    first = F.row_number().over(Window.partitionBy("uid", "window_start").orderBy("window_start"))
-    names = (*fields, "search_item")
-    return (
-        counted.select(
-            "uid",
-            "window_start",
-            F.sum("_views").over(so_far).alias("pv"),
-            *[F.collect_set(n).over(so_far).alias(n) for n in names],
-            F.max("ts").over(so_far).alias("ts"),
-        )
-        .withColumn("_first", first)
-        .filter("_first = 1")
-        .select("uid", "window_start", "pv", *[sorted_csv(F.col(n)).alias(n) for n in names], "ts")
+        pages.select("uid", start, "ts", *[device_value(f).alias(f) for f in fields[:-1]], "search_item")
+        .groupBy("uid", "window_start", *fields)
+        .agg(F.count("*").alias("_views"), F.max("ts").alias("_ts"))
     )
+    columns = {
+        "_last": last_of_position("window_start"),
+        "pv": running_sum(F.col("_views")),
+        **{f"_{f}": running_set(F.col(f)) for f in fields},
+        "ts": latest_time("_ts"),
+    }
+    users = (pages if hot_from is None else hot_from).select("uid", start)
+    done = with_running(counted, "uid", "window_start", fields, columns, hot_rows, users).filter("_last")
+    return done.select("uid", "window_start", "pv", *[sorted_csv(F.col(f"_{f}")).alias(f) for f in fields], "ts")
 
 
 def last_per_window(

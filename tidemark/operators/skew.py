@@ -22,11 +22,12 @@ SALTS = 16
 SAMPLED_ROWS = 2_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, position: str | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, min_rows: int | None = None, position: str | None = None) -> DataFrame:
     """The hottest keys of ``df``; with ``position``, also its range within each key.
 
     Rows are counted in a sample in which a key of ``min_rows`` has about ``SAMPLED_ROWS``.
     """
+    min_rows = min_rows or HOT_ROWS
     fraction = min(1.0, SAMPLED_ROWS / min_rows)
     columns = [key] if position is None else [key, position]
     extra = [] if position is None else [F.min(position).alias("_low"), F.max(position).alias("_high")]
@@ -47,13 +48,14 @@ def _found(hot: DataFrame) -> DataFrame | None:
     return hot.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
-def find_hot(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
+def find_hot(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame | None:
     """Hot keys with a ``_hot`` flag, or None."""
     return _found(hot_keys(df, key, min_rows).select(key, F.lit(True).alias("_hot")))
 
 
-def find_hot_ranges(df: DataFrame, key: str, position: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
+def find_hot_ranges(df: DataFrame, key: str, position: str, min_rows: int | None = None) -> DataFrame | None:
     """Hot keys with the start of their ``position`` range and the width of its chunks, or None."""
+    min_rows = min_rows or HOT_ROWS
     chunks = F.least(F.ceil(F.col("_rows") * 4 / min_rows), F.lit(MAX_CHUNKS))
     width = F.floor((F.col("_high") - F.col("_low")) / chunks) + 1
     return _found(hot_keys(df, key, min_rows, position).select(key, "_low", width.alias("_width")))

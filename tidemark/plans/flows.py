@@ -16,8 +16,8 @@ DETAIL_TIES = (
 
 def page_feed(page_logs: DataFrame, keywords: DataFrame, window_ms: int = 2 * MINUTE_MS) -> DataFrame:
     """base2: device and search scores of each user's last page statistics per window."""
-    pages = dedup.full_row(projections.with_uid(projections.page(page_logs)))
-    snapshots = running.page_window_snapshots(pages, window_ms).drop("window_start")
+    pages = projections.with_uid(projections.page(page_logs))
+    snapshots = running.page_window_snapshots(dedup.full_row(pages), window_ms, hot_from=pages).drop("window_start")
     scored = scoring.add_page_scores(dimensions.add_search_category(snapshots, keywords))
     return projections.restamp(scored)
 
@@ -34,7 +34,7 @@ def order_feed(
     details = projections.with_id(projections.order_detail(detail_changes), "order_id")
     lines = feed_joins.orders_with_details(orders, details, bound_ms)
     fresh = dedup.first_in_event_order(lines, "detail_id", "ts_ms", DETAIL_TIES)
-    return scoring.add_order_scores(dimensions.enrich_by_sku(fresh, sku_dim, categories))
+    return scoring.add_order_scores(dimensions.enrich_by_sku(fresh, sku_dim, categories, details))
 
 
 def user_feed(
