@@ -315,6 +315,11 @@ def line_columns(df):
     return df.drop("original_total_amount")
 
 
+def narrow_changes(v: Views):
+    orders = v.order_changes("id", "create_time", "total_amount", "user_id")
+    return projections.order_change(orders), projections.order_detail_change(v.detail_changes("order_id", "sku_id"))
+
+
 def order_lines(v: Views):
     orders = projections.with_id(projections.order(v.order_changes()))
     details = projections.with_id(projections.order_detail(v.detail_changes()), "order_id")
@@ -329,7 +334,7 @@ def order_detail_interval_join_2h(v: Views):
 @query("SELECT op, order_id, create_time, total_amount::DOUBLE AS total_amount, uid, ts_ms, sku_id FROM order_sku",
        "order_sku")
 def order_detail_interval_join_30d(v: Views):
-    orders, details = projections.order_change(v.order_changes()), projections.order_detail_change(v.detail_changes())
+    orders, details = narrow_changes(v)
     joined = feed_joins.orders_with_sku(orders, details)
     return joined.withColumn("total_amount", as_number("total_amount"))
 
@@ -354,7 +359,7 @@ def user_monotone_dedup(v: Views):
 
 @query("SELECT order_id, ts_ms, uid, sku_id FROM order_fresh", "order_fresh")
 def order_bloom_equiv_dedup(v: Views):
-    orders, details = projections.order_change(v.order_changes()), projections.order_detail_change(v.detail_changes())
+    orders, details = narrow_changes(v)
     fresh = dedup.by_key_and_time(feed_joins.orders_with_sku(orders, details), "order_id")
     return fresh.select("order_id", "ts_ms", "uid", "sku_id")
 
@@ -372,7 +377,7 @@ def user_bloom_equiv_dedup(v: Views):
 @query("""SELECT d.detail_id, d.sku_id, d.order_price::DOUBLE AS order_price, s.c3id, s.tname, s.b1_name
           FROM detail_raw d LEFT JOIN sku s ON d.sku_id = s.sku_id""", "detail_raw", "sku")
 def sku_enrich_lookup(v: Views):
-    lines = v.detail_changes().select(
+    lines = v.detail_changes("id", "sku_id", "order_price").select(
         F.col("after.id").alias("detail_id"), "after.sku_id", F.col("after.order_price").cast("double").alias("order_price")
     )
     return dimensions.enrich_by_sku(lines, v.sku_dim(), v.type_categories())
@@ -394,8 +399,10 @@ def sku_spu_trademark_join(v: Views):
           FROM order_raw o LEFT JOIN detail_raw d ON o.id = d.order_id LEFT JOIN sku_names n ON d.sku_id = n.sku_id""",
        "order_raw", "detail_raw", "sku_names")
 def order_category_left_chain(v: Views):
-    orders = projections.order(v.order_changes()).select("id", "uid", "create_time")
-    details = projections.order_detail(v.detail_changes()).select("order_id", "sku_id", "order_price")
+    orders = v.order_changes("id", "user_id", "create_time").select(
+        "after.id", F.col("after.user_id").alias("uid"), "after.create_time"
+    )
+    details = v.detail_changes("order_id", "sku_id", "order_price").select("after.*")
     chain = dimensions.order_categories(orders, details, v.dictionary_skus(), v.dictionary())
     return chain.withColumn("price", as_number("price"))
 
@@ -407,7 +414,7 @@ def order_category_left_chain(v: Views):
                        WHERE order_id IN (SELECT o_orderkey::VARCHAR FROM orders WHERE o_orderstatus = 'P')) x
               ON f.order_id = x.order_id)""", "order_fresh", "sku_names", "order_sum")
 def order_names_lookup(v: Views):
-    orders, details = projections.order_change(v.order_changes()), projections.order_detail_change(v.detail_changes())
+    orders, details = narrow_changes(v)
     fresh = dedup.by_key_and_time(feed_joins.orders_with_sku(orders, details), "order_id")
     names = dimensions.sku_names(v.dictionary_skus(), v.dictionary())
     return dimensions.add_order_names(fresh, names, v.overrides()).select("order_id", "sku_id", "btname", "bcname")
@@ -415,13 +422,15 @@ def order_names_lookup(v: Views):
 
 @query(f"SELECT id, {S.PAY_TIME} FROM order_info", "order_info")
 def pay_time_score(v: Views):
-    orders = v.order_changes().select("after.id", dates.pay_time_slot(F.col("after.create_time")).alias("slot"))
+    orders = v.order_changes("id", "create_time").select(
+        "after.id", dates.pay_time_slot(F.col("after.create_time")).alias("slot")
+    )
     return scoring.add_scores(orders, {"pay_time": scoring.pay_time_vector(F.col("slot"))}).drop("slot")
 
 
 @query(f"SELECT id, {S.AMOUNT} FROM order_raw", "order_raw")
 def amount_score(v: Views):
-    orders = v.order_changes().select("after.id", "after.total_amount")
+    orders = v.order_changes("id", "total_amount").select("after.*")
     return scoring.add_scores(orders, {"amount": scoring.amount_vector(F.col("total_amount"))}).drop("total_amount")
 
 
@@ -535,7 +544,8 @@ def staged_final_label(v: Views):
 
 def order_sums(v: Views):
     names = dimensions.sku_names(v.dictionary_skus(), v.dictionary())
-    return flows.order_sums(v.order_changes(), v.detail_changes(), names, v.overrides())
+    orders = v.order_changes("id", "create_time", "total_amount", "user_id")
+    return flows.order_sums(orders, v.detail_changes("order_id", "sku_id"), names, v.overrides())
 
 
 @query(f"SELECT order_id, uid, ts_ms, sku_id, btname, bcname, {S.columns('sum')} FROM order_sum", "order_sum")
@@ -592,8 +602,8 @@ def dim_lookup_left(v: Views):
            FROM detail_raw d JOIN (SELECT id, id AS order_id, uid, ts_ms FROM order_raw) o ON d.order_id = o.order_id
             AND o.ts_ms BETWEEN d.ts_ms - {2 * HOUR_MS} AND d.ts_ms + {HOUR_MS}""", "detail_raw", "order_raw")
 def comment_order_prefix_join(v: Views):
-    comments = v.detail_changes().select("after.order_id", F.col("after.id").alias("detail_id"), "ts_ms")
-    orders = v.order_changes().select(
+    comments = v.detail_changes("order_id", "id").select("after.order_id", F.col("after.id").alias("detail_id"), "ts_ms")
+    orders = v.order_changes("id", "user_id").select(
         "after.id", F.col("after.id").alias("order_id"), F.col("after.user_id").alias("uid"), "ts_ms"
     )
     return feed_joins.comments_with_orders(comments, orders, "order_id", -2 * HOUR_MS, HOUR_MS)

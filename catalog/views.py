@@ -28,6 +28,16 @@ def pick(values, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
+def nested(df: DataFrame, plain: list[Column], wanted: tuple[str, ...] = (), **structs: list[Column]) -> DataFrame:
+    """Plain columns, and struct columns of aliased fields: of all fields, or of the wanted ones."""
+
+    def struct(fields: list[Column]) -> Column:
+        names = df.select(*fields).columns
+        return F.struct(*[f for f, n in zip(fields, names) if not wanted or n in wanted])
+
+    return df.select(*plain, *[struct(fields).alias(name) for name, fields in structs.items()])
+
+
 class Views:
     """Views over one data folder; each reads only the columns it names."""
 
@@ -37,15 +47,17 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    # Change rows with ``after`` parsed, live rows only.
+    # Change rows with ``after`` parsed. The wanted fields of ``after`` can be named, so that a query on few
+    # fields reads few columns.
 
-    def order_changes(self) -> DataFrame:
+    def order_changes(self, *wanted: str) -> DataFrame:
         key = F.col("o_orderkey")
         amount = (F.col("o_totalprice") / 100).cast("string")
-        return self.table("orders").select(
-            pick(OPS, key % 10).alias("op"),
-            order_time(key).alias("ts_ms"),
-            F.struct(
+        return nested(
+            self.table("orders"),
+            [pick(OPS, key % 10).alias("op"), order_time(key).alias("ts_ms")],
+            wanted,
+            after=[
                 key.cast("string").alias("id"),
                 F.col("o_custkey").cast("string").alias("user_id"),
                 F.col("o_orderpriority").alias("consignee"),
@@ -53,16 +65,17 @@ class Views:
                 amount.alias("original_total_amount"),
                 amount.alias("total_amount"),
                 (F.col("o_custkey") % 34).alias("province_id"),
-            ).alias("after"),
+            ],
         )
 
-    def detail_changes(self) -> DataFrame:
+    def detail_changes(self, *wanted: str) -> DataFrame:
         key = F.col("l_orderkey")
         time = detail_time(key, F.col("l_linenumber"))
-        return self.table("lineitem").select(
-            pick(OPS, key % 10).alias("op"),
-            time.alias("ts_ms"),
-            F.struct(
+        return nested(
+            self.table("lineitem"),
+            [pick(OPS, key % 10).alias("op"), time.alias("ts_ms")],
+            wanted,
+            after=[
                 (key * 10 + F.col("l_linenumber")).cast("string").alias("id"),
                 key.cast("string").alias("order_id"),
                 F.col("l_partkey").alias("sku_id"),
@@ -73,15 +86,15 @@ class Views:
                 F.col("l_discount").cast("string").alias("split_coupon_amount"),
                 F.col("l_tax").cast("string").alias("split_activity_amount"),
                 F.col("l_extendedprice").cast("string").alias("split_total_amount"),
-            ).alias("after"),
+            ],
         )
 
     def user_changes(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.table("customer").select(
-            F.lit("r").alias("op"),
-            user_time(key).alias("ts_ms"),
-            F.struct(
+        return nested(
+            self.table("customer"),
+            [F.lit("r").alias("op"), user_time(key).alias("ts_ms")],
+            after=[
                 key.cast("string").alias("id"),
                 F.col("c_name").alias("name"),
                 F.col("c_mktsegment").alias("user_level"),
@@ -90,32 +103,34 @@ class Views:
                 F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
                 pick(("M", "F", None), key % 3).alias("gender"),
                 (key * 97 % 20000 - 7305).cast("int").alias("birthday"),
-            ).alias("after"),
+            ],
         )
 
     def supplement_changes(self) -> DataFrame:
         key = F.col("c_custkey")
         offset = (key % 13 - 6) * DAY_MS + F.when(key % 13 == 11, key % 2).otherwise(0)
         time = user_time(key) + offset
-        return self.table("customer").select(
-            F.lit("r").alias("op"),
-            time.alias("ts_ms"),
-            F.struct(
+        return nested(
+            self.table("customer"),
+            [F.lit("r").alias("op"), time.alias("ts_ms")],
+            after=[
                 key.cast("string").alias("uid"),
                 (key % 50 + 150).cast("string").alias("height"),
                 F.lit("cm").alias("unit_height"),
                 (F.floor(F.abs("c_acctbal")) % 60 + 45).cast("string").alias("weight"),
                 F.lit("kg").alias("unit_weight"),
                 time.alias("create_ts"),
-            ).alias("after"),
+            ],
         )
 
     def page_logs(self) -> DataFrame:
         """Parsed page logs; event_id is kept to order pages of one user and millisecond."""
         k = F.get_json_object("props", "$.k").cast("int")
         is_view = F.col("event_type") == "view"
-        return self.table("events").select(
-            F.struct(
+        return nested(
+            self.table("events"),
+            [wall_clock_millis(F.col("ts")).alias("ts"), F.col("event_id")],
+            common=[
                 F.concat(F.lit("area-"), F.col("user_id") % 34).alias("ar"),
                 pick(("xiaomi", "vivo", "Redmi", None), F.col("event_id") % 4).alias("ba"),
                 F.col("event_type").alias("ch"),
@@ -126,16 +141,14 @@ class Views:
                 F.col("event_id").cast("string").alias("sid"),
                 F.col("user_id").cast("string").alias("uid"),
                 F.lit("v2.1").alias("vc"),
-            ).alias("common"),
-            F.struct(
+            ],
+            page=[
                 F.lit(1000).cast("bigint").alias("during_time"),
                 F.when(is_view, pick((*CATEGORY_OF_TYPE, "NONE"), k % 7)).otherwise(F.lit("item")).alias("item"),
                 F.when(is_view, "keyword").otherwise("sku_id").alias("item_type"),
                 F.lit("home").alias("last_page_id"),
                 F.lit("list").alias("page_id"),
-            ).alias("page"),
-            wall_clock_millis(F.col("ts")).alias("ts"),
-            "event_id",
+            ],
         )
 
     # Raw text feeds.

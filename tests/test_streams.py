@@ -189,3 +189,21 @@ def test_layout(spark, tmp_path, partitioned):
     files.write_table(rows, files.Layout(f"{tmp_path}/t", partitioned, field="dt"))
     assert os.path.isdir(f"{tmp_path}/t/dt=1") is partitioned
     assert spark.read.parquet(f"{tmp_path}/t").count() == 100
+
+
+def test_dimension_is_read_again_for_each_batch(spark, tmp_path):
+    source, dim = f"{tmp_path}/in", f"{tmp_path}/dim"
+    add_batch(source, 0, [{"k": "a"}])
+    add_batch(source, 1, [{"k": "b"}])
+    seen = []
+
+    def read_dim():
+        seen.append(1)
+        return spark.createDataFrame([("a", f"v{len(seen)}"), ("b", f"v{len(seen)}")], "k STRING, name STRING")
+
+    write = runs.enriched(read_dim, "k", files.batch_folders(dim, "parquet"), prefix="d_")
+    rows = stream(spark, source, "k STRING")
+    writer = rows.writeStream.option("checkpointLocation", f"{tmp_path}/c").foreachBatch(write)
+    runs.start(writer, spark, trigger=None).awaitTermination()
+    got = spark.read.parquet(dim).select("k", "d_name").collect()
+    assert sorted(map(tuple, got)) == [("a", "v1"), ("b", "v2")]

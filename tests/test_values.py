@@ -212,3 +212,15 @@ def test_order_sum_uses_each_buckets_own_scores(spark):
     got = scoring.add_order_sums(order).first()
     assert got["sum_18_24"] == pytest.approx(0.18 + 0.06 + 0.12)
     assert got["sum_40_49"] == pytest.approx(0.04 + 0.24 + 0.03)
+
+
+def test_right_wins(spark):
+    df = spark.sql("SELECT named_struct('a', 1, 'b', 2) AS l, named_struct('b', 3, 'c', 4) AS r")
+    assert projections.right_wins(df, "l", "r").first().asDict() == {"a": 1, "b": 3, "c": 4}
+    merged = text.merge_maps(F.expr("map('a', 1, 'b', 2)"), F.expr("map('b', 3)"))
+    assert value(spark, merged) == {"a": 1, "b": 3}
+
+
+def test_plain_bucket_names(spark):
+    df = spark.range(1).select(F.lit(1).alias("pay_time_18-24"), F.lit(2).alias("sum_25~29"), F.lit(3).alias("sum_50"), F.lit(4).alias("ts_ms"))
+    assert projections.plain_bucket_names(df).columns == ["pay_time_18_24", "sum_25_29", "sum_50", "ts_ms"]

@@ -106,5 +106,11 @@ def camel_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[camel_name(c) for c in df.columns])
 
 
+def merge_maps(left: Column, right: Column) -> Column:
+    """Both maps in one, the right value winning under equal keys."""
+    only_left = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
+    return F.map_concat(only_left, right)
+
+
 def to_json_row(df: DataFrame, column: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias(column))

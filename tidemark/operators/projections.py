@@ -117,3 +117,20 @@ def user_supplement(df: DataFrame) -> DataFrame:
 def restamp(df: DataFrame, time: str = "ts") -> DataFrame:
     """Take ``time`` as the row's ``ts_ms``."""
     return df.withColumn("ts_ms", F.col(time).cast("bigint"))
+
+
+def right_wins(df: DataFrame, left: str, right: str) -> DataFrame:
+    """Columns of two struct columns side by side, the right one's under equal names."""
+    on_right = df.schema[right].dataType.names
+    only_left = [n for n in df.schema[left].dataType.names if n not in on_right]
+    return df.select(*[F.col(f"{left}.{n}") for n in only_left], f"{right}.*")
+
+
+def plain_bucket_names(df: DataFrame) -> DataFrame:
+    """Bucket columns of feeds that spell them ``18-24`` or ``18~24``, spelled ``18_24``."""
+    plain = {}
+    for name in df.columns:
+        prefix, _, bucket = name.rpartition("_")
+        if bucket.replace("-", "_").replace("~", "_") in V.BUCKETS:
+            plain[name] = f"{prefix}_{bucket.replace('-', '_').replace('~', '_')}"
+    return df.withColumnsRenamed(plain)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark import session
+from tidemark.operators import joins
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -39,6 +41,17 @@ def start(writer: DataStreamWriter, spark: SparkSession, trigger: str | None = T
         return timed.start()
 
 
+def enriched(
+    read_dim: Callable[[], DataFrame], on: str, write: Callable[[DataFrame, int], None], prefix: str = ""
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer that looks rows up in a dimension read afresh for each batch."""
+
+    def look_up(rows: DataFrame, batch_id: int) -> None:
+        write(joins.lookup_join(rows, read_dim(), on, prefix=prefix), batch_id)
+
+    return look_up
+
+
 def files(rows: DataFrame, folder: str, format: str = "parquet") -> DataStreamWriter:
     """Append rows to files exactly once."""
     return (
