@@ -146,6 +146,16 @@ def test_topic_options():
     assert "topic" not in topics.options("h:1")
 
 
+def test_topic_writers_are_built(spark, tmp_path):
+    rows = spark.range(3)
+    source = f"{tmp_path}/in"
+    add_batch(source, 0, [{"k": "a"}])
+    assert topics.batch(rows, "h:1", "t") is not None
+    assert topics.stream(stream(spark, source, "k STRING"), "h:1", "t", f"{tmp_path}/c", durable=True) is not None
+    assert files.console(stream(spark, source, "k STRING")) is not None
+    assert files.stream_text(stream(spark, source, "k STRING"), f"{tmp_path}/o", f"{tmp_path}/c") is not None
+
+
 def test_routed_and_upsert_rows(spark):
     rows = spark.createDataFrame([("t1", 1, "x")], "sink_table STRING, id INT, v STRING")
     assert tuple(topics.routed(rows).first()) == ("t1", '{"id":1,"v":"x"}')

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import dates, fixed_values as V, numbers, text
 from tidemark.operators import cdc, projections, scoring
 
@@ -224,3 +225,44 @@ def test_right_wins(spark):
 def test_plain_bucket_names(spark):
     df = spark.range(1).select(F.lit(1).alias("pay_time_18-24"), F.lit(2).alias("sum_25~29"), F.lit(3).alias("sum_50"), F.lit(4).alias("ts_ms"))
     assert projections.plain_bucket_names(df).columns == ["pay_time_18_24", "sum_25_29", "sum_50", "ts_ms"]
+
+
+def test_against_python_on_random_values(spark):
+    import hashlib
+    import random
+
+    pick = random.Random(3)
+    data = []
+    for _ in range(300):
+        number = pick.getrandbits(pick.choice([8, 64, 256]))
+        first = dt.date(2023, 1, 1) + dt.timedelta(days=pick.randrange(900))
+        last = first + dt.timedelta(days=pick.randrange(-3, 40))
+        payload = "0x" + "".join(pick.choice("0123456789abcdef") for _ in range(pick.randrange(200)))
+        data.append((str(number), hex(number), first, last, payload))
+    df = spark.createDataFrame(data, "n STRING, h STRING, a DATE, b DATE, p STRING").select(
+        "*", numbers.hex_or_decimal_to_text(F.col("h")).alias("number"), text.hash_bucket(F.col("n")).alias("bucket"),
+        dates.day_partitions(F.col("a"), F.col("b")).alias("days"), text.hex_words(F.col("p")).alias("words"),
+    )
+    for r in df.collect():
+        assert r["number"] == r["n"]
+        assert r["bucket"] == "%04d" % (int(hashlib.md5(r["n"].encode()).hexdigest()[-3:], 16) % 128)
+        days = [r["a"] + dt.timedelta(days=i) for i in range((r["b"] - r["a"]).days + 1)]
+        assert r["days"] == [int(d.strftime("%Y%m%d")) for d in days]
+        body = r["p"][2:]
+        assert r["words"] == ["0x" + body[i * 64: i * 64 + 64] for i in range(len(body) // 64)]
+
+
+def test_today_is_the_day_in_shanghai(spark):
+    zone = dt.timezone(dt.timedelta(hours=8))
+    before = dt.datetime.now(zone).date()
+    got = value(spark, dates.today())
+    assert before <= got <= dt.datetime.now(zone).date()
+
+
+def test_routed_values_keep_their_types(spark):
+    line = '{"after":{"id":1,"amount":12.5,"name":"x","other":true},"source":{"table":"t"},"op":"c","ts_ms":3}'
+    routes = spark.createDataFrame([("t", "sink", "id, amount,name", "f", "id", "r")], schemas.DIM_ROUTE)
+    facts = spark.createDataFrame([("t", "kind", "sink", "id", "r"), ("t2", "kind", "gone", "id", "d")], schemas.FACT_ROUTE)
+    envelopes = cdc.parse_envelope(rows(spark, [line], "value STRING"))
+    assert cdc.route(envelopes, routes).first()["value"] == '{"id":1,"amount":12.5,"name":"x"}'
+    assert cdc.route(envelopes, facts).first()["value"] == '{"id":1}'

@@ -78,14 +78,15 @@ def bootstrap(rows: DataFrame, database: str, name: str, ts_ms: Column) -> DataF
 def route(envelopes: DataFrame, routes: DataFrame) -> DataFrame:
     """Send each change to its configured sink with only the configured columns.
 
-    Tables without a route are dropped. The routing table goes through the checked lookup join.
+    Tables without a route are dropped. The routing table goes through the checked lookup join. Values keep
+    their JSON types.
     """
     config = routes.select(
         F.col("sourceTable").alias("_source"), "sinkTable", "sinkColumns", "op"
     ).filter(F.col("op") != DELETE).drop("op")
     typed = envelopes.withColumn("_source", F.col("source.table"))
     matched = joins.lookup_join(typed, config, "_source").filter(F.col("sinkTable").isNotNull())
-    fields = F.from_json(F.coalesce("after", "before"), "map<string,string>")
+    fields = F.from_json(F.coalesce("after", "before"), "map<string,variant>")
     wanted = F.transform(F.split("sinkColumns", ","), lambda c: F.trim(c))
     kept = F.map_filter(fields, lambda k, _: F.array_contains(wanted, k))
     return matched.select(
