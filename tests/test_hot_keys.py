@@ -133,8 +133,9 @@ def test_latest_within(left, right, con, hot_rows, lower, upper):
 @pytest.mark.parametrize("limit,hot_rows", [(1000, 50), (0, 50), (0, 10_000)])
 def test_lookup(left, spark, limit, hot_rows):
     dim = spark.createDataFrame([("hot", "H"), ("u1", "one")], "uid STRING, name STRING")
+    left = left.unionByName(left.limit(20).withColumn("uid", F.lit(None).cast("string")))
     got = joins.lookup_join(left, dim, "uid", prefix="dim_", max_broadcast_rows=limit, hot_rows=hot_rows)
-    assert got.count() == MANY
+    assert got.count() == MANY + 20
     names = {"hot": "H", "u1": "one"}
     assert all(r["dim_name"] == names.get(r["uid"]) for r in got.collect())
 

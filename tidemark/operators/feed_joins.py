@@ -148,9 +148,9 @@ def latest_labels(
     ).filter(F.col("order_row").isNotNull() & F.col("user_row").isNotNull())
     newest = dedup.latest(met, "uid", ["ts_ms", *page_scores])
     flat = newest.select(
-        "user_row", *page_scores, *[F.col(f"order_row.{c}").alias(c) for c in scores]
+        "uid", "user_row", *page_scores, *[F.col(f"order_row.{c}").alias(c) for c in scores]
     ).withColumn("ageLevel", scoring.age_level())
-    return flat.select("user_row.*", "ageLevel")
+    return flat.select("uid", "user_row.*", "ageLevel")
 
 
 def latest_user_sums(

@@ -110,7 +110,7 @@ def latest_within(
     hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Per left row, the latest row of each right side in its interval, as one struct column per side.
+    """Per left row, the latest row of each right side in its interval, as one struct (without key) per side.
 
     ``rights`` maps a column name to (rows, time column, lower, upper). A side's latest row in the interval
     is the last one not after left + upper, provided it is not before left + lower. All sides go through
@@ -121,7 +121,7 @@ def latest_within(
 
     def line(df: DataFrame, position, kind: int, payload: str):
         columns = {name: F.lit(None) for name in ("_left", *sides)}
-        columns[payload] = F.struct(*df.columns)
+        columns[payload] = F.struct(*[c for c in df.columns if c != key])
         return df.select(
             key, position.cast("bigint").alias("_at"), F.lit(kind).alias("_kind"),
             *[c.alias(n) for n, c in columns.items()],
@@ -142,7 +142,8 @@ def latest_within(
         last = F.col(f"_last_{name}")
         fits = last[time] >= F.col("_left")[left_time] + lower
         picked.append(F.when(fits, last).alias(name))
-    return known.select("_left.*", *picked)
+    # The key itself, not a copy in the struct, so that a step by the same key needs no further shuffle.
+    return known.select(*[F.col(c) if c == key else F.col("_left")[c].alias(c) for c in left.columns], *picked)
 
 
 def small_enough(dim: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -167,15 +168,14 @@ def lookup_join(
 ) -> DataFrame:
     """Add dimension columns by key; rows without a match pass with nulls. ``dim`` is unique by ``on``.
 
-    A dimension that proves small is broadcast. A larger one is shuffled, with the rows of hot keys salted.
+    A dimension that proves small is broadcast. A larger one is shuffled, with the rows of hot keys salted and
+    rows without a key spread over all tasks.
     """
     columns = [c for c in dim.columns if c != on] if columns is None else list(columns)
     wanted = dim.select(on, *[F.col(c).alias(prefix + c) for c in columns])
     if small_enough(wanted, max_broadcast_rows):
         return df.join(F.broadcast(wanted), on, "left")
     hot = skew.find_hot(df if hot_from is None else hot_from, on, hot_rows)
-    if hot is None:
-        return df.join(wanted, on, "left")
     split, copied = skew.salted_pair(df, wanted, on, hot)
     return split.join(copied, [on, "_salt"], "left").drop("_salt")
 

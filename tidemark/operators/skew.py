@@ -73,20 +73,21 @@ def row_salt(df: DataFrame, salts: int) -> Column:
 
 
 def salted_pair(
-    big: DataFrame, other: DataFrame, key: str, hot: DataFrame, salts: int = SALTS
+    big: DataFrame, other: DataFrame, key: str, hot: DataFrame | None, salts: int = SALTS
 ) -> tuple[DataFrame, DataFrame]:
     """Give both sides a ``_salt`` to join on: hot keys of ``big`` are split, ``other`` copied to match.
 
-    Rows of ``other`` under any other key are not copied.
+    Rows of ``other`` under any other key are not copied. Rows of ``big`` without a key match nothing and
+    are spread by their own hash.
     """
+    anywhere = F.xxhash64(*big.columns).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    if hot is None:
+        split = big.withColumn("_salt", F.when(F.col(key).isNull(), anywhere).otherwise(0))
+        return split, other.withColumn("_salt", F.lit(0))
     hot = F.broadcast(hot)
     is_hot = F.coalesce("_hot", F.lit(False))
-    split = (
-        big.withColumn("_salt", row_salt(big, salts))
-        .join(hot, key, "left")
-        .withColumn("_salt", F.when(is_hot, F.col("_salt")).otherwise(0))
-        .drop("_hot")
-    )
+    salt = F.when(F.col(key).isNull(), F.col("_any")).when(is_hot, F.pmod("_any", F.lit(salts))).otherwise(0)
+    split = big.withColumn("_any", anywhere).join(hot, key, "left").withColumn("_salt", salt).drop("_hot", "_any")
     every_salt = F.sequence(F.lit(0), F.when(is_hot, F.lit(salts - 1)).otherwise(0))
     copied = other.join(hot, key, "left").withColumn("_salt", F.explode(every_salt)).drop("_hot")
     return split, copied
