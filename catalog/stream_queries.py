@@ -14,7 +14,7 @@ from tidemark.functions import dates
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
 from tidemark.operators import dedup, projections, scoring
 from tidemark.sinks import files, topics
-from tidemark.sources import feeds
+from tidemark.sources import dimensions, feeds
 from tidemark.streaming import flows, joins, runs, state
 from tidemark.streaming.times import EVENT_TIME, with_event_time
 
@@ -185,8 +185,6 @@ def topic_routing_partitioned(v: Views):
     SELECT id, arg_max(name, seq) FILTER (name IS NOT NULL) AS name FROM alive GROUP BY id""")
 def stream_dimension_versions(v: Views):
     """A change stream kept applied to a versioned dimension."""
-    from tidemark.sources.dimensions import current_version
-
     folder = session.shared_folder(v.spark)
     v.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).write.parquet(
         f"{folder}/dim/version=0"
@@ -200,4 +198,4 @@ def stream_dimension_versions(v: Views):
         files.dimension_versions(f"{folder}/dim", "id", ["name"], ["seq"])
     )
     runs.start(writer, v.spark, trigger=None).awaitTermination()
-    return current_version(v.spark, f"{folder}/dim")
+    return dimensions.current_version(v.spark, f"{folder}/dim")

@@ -147,12 +147,12 @@ def latest_within(
 
 
 def small_enough(dim: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Count rows and bytes of a dimension, up to one row over the limit: the check before a broadcast."""
+    """The check before a broadcast: rows and bytes of a dimension, by one map-side combined aggregate."""
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     width = F.lit(0)
     for column in dim.columns:
         width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
-    rows, size = dim.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).first()
+    rows, size = dim.agg(F.count("*"), F.sum(width.cast("bigint"))).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
