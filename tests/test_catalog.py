@@ -6,9 +6,11 @@ from compare import TABLES, differences, duck
 from conftest import DATA
 
 import __spark_entry__ as entry
+from catalog import registry
 from tidemark.operators import joins, skew
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in registry.QUERIES}
+CHECKS = entry.oracle_sql()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
