@@ -42,3 +42,13 @@ def free_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written as Parquet to a new folder in the shared one and read from there.
+
+    For tables that a checkpoint would make large; the folder stays until the shared one is cleared.
+    """
+    folder = session.shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

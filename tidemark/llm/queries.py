@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, preferences, quality, simhash, urls
+from tidemark.llm import bpe, preferences, quality, simhash, suffix_tree, urls
 from tidemark.llm.sql import CHECKS as CHECKS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,11 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copies(table(spark, folder, "documents"))
+
+
+@query
+def op10_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored; those whose number's checksum leaves 2 are held out of training."""
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return suffix_tree.scored(docs, held_out)
