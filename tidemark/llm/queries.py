@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, preferences, quality, simhash, suffix_tree, urls
+from tidemark.llm import bpe, decontaminate, paragraphs, preferences, quality, simhash, suffix_tree, urls
 from tidemark.llm.sql import CHECKS as CHECKS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,13 @@ def op10_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return suffix_tree.scored(docs, held_out)
+
+
+@query
+def op2_repeated_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated(table(spark, folder, "documents")).drop("tie")
+
+
+@query
+def op3_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
