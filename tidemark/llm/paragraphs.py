@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup
-from tidemark.llm.common import checkpointed, shipped
+from tidemark.llm.common import shipped
 
 shipped(__name__)
 
@@ -165,17 +165,5 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     bands = neardup.tuned(threshold, RECALL, ROWS)
     docs = docs.filter(F.col(text).isNotNull())
     near = neardup.linked(band_rows(docs, text, bands), lambda named: shingle_sets(docs, text, named), threshold)
-    found = places(docs, key, text)
-    # Copies are one unit; units that repeat or are similar to others are few, and only their places are moved on.
-    several = found.select("h1", "h2").groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1")
-    copies = several.join(near, ["h1", "h2"], "full").select(
-        "h1", "h2", F.coalesce("component", F.xxhash64("h1", "h2").bitwiseOR(F.lit(-(1 << 63)))).alias("component")
-    )
-    copies = checkpointed(copies)
-    members = checkpointed(found.join(copies, ["h1", "h2"]).drop("h1", "h2").distinct())
-    place = lambda: F.struct(F.col("id").isNull().alias("unnamed"), "id", "tie", "start")
-    first = members.groupBy("component").agg(F.min(place()).alias("first"))
-    marked = members.join(first, "component").withColumn("kept", place().eqNullSafe(F.col("first")))
-    return marked.select(
-        F.col("id").alias(key), F.col("tie"), "start", F.col("stop").alias("end"), "words", "component", "kept"
-    )
+    marked = neardup.members(places(docs, key, text), near, key, "start")
+    return marked.select(key, "tie", "start", F.col("stop").alias("end"), "words", "component", "kept")
