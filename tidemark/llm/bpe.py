@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding.
 
 A text is cut into words by the tokenizer's pattern, a word into bytes, and bytes are merged: always the mergeable
-pair of lowest rank, of several the leftmost. A segment tree holds the rank and place of every adjacent pair; its
-root is the next merge, and a merge changes at most three leaves. A word of n bytes so takes n log n steps, however
-long it is. Words seen before come from a table of bounded size.
+pair of lowest rank, of several the leftmost. A segment tree, sixteen children to a node, holds the rank and place of
+every adjacent pair; its root is the next merge, and a merge changes at most three leaves and the nodes above them. A
+word of n bytes so takes n log n steps, however long it is. Words seen before come from a table of bounded size.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import shipped
@@ -29,9 +29,12 @@ CUT = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 NEVER = 1 << 62
-#: Words kept per Python worker, and the longest word kept.
-KEPT_WORDS = 200_000
+PLACE = (1 << 40) - 1
+#: Words in the newer and in the older half of a Python worker's table, and the longest word kept.
+KEPT_WORDS = 250_000
 KEPT_LENGTH = 64
+#: Texts whose ids a task holds at a time.
+SLICE = 256
 
 
 def byte_characters() -> dict[str, int]:
@@ -57,93 +60,93 @@ class Coder:
         self.start = [0] * 256
         for c, b in of.items():
             self.start[b] = vocabulary[c]
-        self.merges = {}
+        self.merges: dict[int, int] = {}
+        self.merged: list[int] = []
         for rank, pair in enumerate(model["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocabulary[a] << 20 | vocabulary[b]] = (rank, vocabulary[a + b])
+            self.merges[vocabulary[a] << 20 | vocabulary[b]] = rank << 40
+            self.merged.append(vocabulary[a + b])
         self.cut = regex.compile(CUT)
         marks = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
-        self.kept: dict[str, array] = {}
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def word(self, data: bytes) -> list[int]:
         """Merge one word's bytes."""
-        ids = [self.start[b] for b in data]
+        start, merged, get = self.start, self.merged, self.merges.get
+        ids = [start[b] for b in data]
         n = len(ids)
-        merges = self.merges
-        size = 1
-        while size < n - 1:
-            size *= 2
-        tree = [NEVER] * (2 * size)
-        found = False
-        for i in range(n - 1):
-            merge = merges.get(ids[i] << 20 | ids[i + 1])
-            if merge:
-                tree[size + i] = merge[0] << 40 | i
-                found = True
-        if not found:
+        # A leaf is the rank and place of the pair that begins there; NEVER or more: no merge.
+        leaves = [get(a << 20 | b, NEVER) + i for i, (a, b) in enumerate(zip(ids, ids[1:]))]
+        if not leaves:
             return ids
-        for at in range(size - 1, 0, -1):
-            a, b = tree[2 * at], tree[2 * at + 1]
-            tree[at] = a if a < b else b
+        levels = [leaves]
+        while len(low := levels[-1]) > 1:
+            levels.append([min(low[k : k + 16]) for k in range(0, len(low), 16)])
+        top = levels[-1]
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-
-        def put(i: int, value: int) -> None:
-            at = size + i
-            tree[at] = value
-            while at > 1:
-                a, b = tree[at], tree[at ^ 1]
-                at >>= 1
-                low = a if a < b else b
-                if tree[at] == low:
-                    return
-                tree[at] = low
-
-        def rank(i: int, j: int) -> int:
-            merge = merges.get(ids[i] << 20 | ids[j])
-            return merge[0] << 40 | i if merge else NEVER
-
-        while (best := tree[1]) != NEVER:
-            i = best & ((1 << 40) - 1)
+        while (best := top[0]) < NEVER:
+            i = best & PLACE
             j = after[i]
-            ids[i] = merges[ids[i] << 20 | ids[j]][1]
+            ids[i] = merged[best >> 40]
             ids[j] = -1
             k = after[i] = after[j]
-            if j < n - 1:
-                put(j, NEVER)
+            changed = [i]
             if k < n:
                 before[k] = i
-                put(i, rank(i, k))
+                leaves[i] = get(ids[i] << 20 | ids[k], NEVER) + i
+                leaves[j] = NEVER
+                changed.append(j)
             else:
-                put(i, NEVER)
-            if before[i] >= 0:
-                put(before[i], rank(before[i], i))
+                leaves[i] = NEVER
+                if j < n - 1:
+                    leaves[j] = NEVER
+                    changed.append(j)
+            h = before[i]
+            if h >= 0:
+                leaves[h] = get(ids[h] << 20 | ids[i], NEVER) + h
+                changed.append(h)
+            if len(levels) == 2:
+                top[0] = min(leaves)
+                continue
+            for at in changed:
+                for low, high in zip(levels, levels[1:]):
+                    at >>= 4
+                    least = min(low[at * 16 : at * 16 + 16])
+                    if high[at] == least:
+                        break
+                    high[at] = least
         return [x for x in ids if x >= 0]
 
-    def plain(self, text: str) -> Iterator[array]:
-        """The ids of each word of a text without special tokens."""
-        kept = self.kept
-        for word in self.cut.findall(text):
-            ids = kept.get(word)
-            if ids is None:
-                ids = array("i", self.word(word.encode("utf-8", "surrogatepass")))
-                if len(word) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[word] = ids
-            yield ids
-
-    def encode(self, text: str | None) -> array:
-        ids = array("i")
-        for i, part in enumerate(self.marks.split(text or "") if self.marks else [text or ""]):
-            if i % 2:
-                ids.append(self.special[part])
-            elif part:
-                for word in self.plain(part):
-                    ids.extend(word)
+    def unseen(self, word: str) -> bytes:
+        """The ids of a word that is not in the newer half of the table."""
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("i", self.word(word.encode("utf-8", "surrogatepass"))).tobytes()
+        if len(word) <= KEPT_LENGTH:
+            if len(self.kept) >= KEPT_WORDS:
+                self.older = dict(self.kept)
+                self.kept.clear()
+            self.kept[word] = ids
         return ids
 
+    def plain(self, text: str) -> bytes:
+        """The ids, four bytes each, of a text without special tokens."""
+        words = self.cut.findall(text)
+        parts = list(map(self.kept.get, words))
+        at = -1
+        for _ in range(parts.count(None)):
+            at = parts.index(None, at + 1)
+            parts[at] = self.kept.get(words[at]) or self.unseen(words[at])
+        return b"".join(parts)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        parts = self.marks.split(text or "") if self.marks else [text or ""]
+        ids = [array("i", [self.special[p]]).tobytes() if i % 2 else self.plain(p) for i, p in enumerate(parts)]
+        return np.frombuffer(b"".join(ids), np.int32)
+
     def decode(self, ids) -> str:
         token = self.token
         return b"".join([token[i] for i in ids]).decode("utf-8", "replace")
@@ -160,36 +163,6 @@ def coder(content: str) -> Coder:
     return _coders[name]
 
 
-class Tokenizer:
-    """Column functions for one tokenizer file; the driver reads it and sends it to the tasks."""
-
-    def __init__(self, df: DataFrame, path: str):
-        with open(path, encoding="utf-8") as file:
-            self.content = df.sparkSession.sparkContext.broadcast(file.read())
-
-    def encode(self, text: Column) -> Column:
-        """Token ids; a null text has none, like an empty one."""
-        content = self.content
-
-        @F.pandas_udf("array<int>")
-        def ids(texts: pd.Series) -> pd.Series:
-            mine = coder(content.value)
-            return pd.Series([np.frombuffer(mine.encode(t), np.int32) for t in texts], dtype=object)
-
-        return ids(text)
-
-    def decode(self, ids: Column) -> Column:
-        """The text of token ids; bytes that are no UTF-8 become U+FFFD."""
-        content = self.content
-
-        @F.pandas_udf("string")
-        def texts(lists: pd.Series) -> pd.Series:
-            mine = coder(content.value)
-            return pd.Series([None if x is None else mine.decode(x.tolist()) for x in lists], dtype=object)
-
-        return texts(ids)
-
-
 def default_path() -> str:
     import public_tokenizers
 
@@ -199,7 +172,25 @@ def default_path() -> str:
 def tokenized(docs: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids", decoded: str = "decoded"):
     """``docs`` with the token ids of ``text`` and the text they decode to, one row per row.
 
-    A null or empty text has no tokens and decodes to the empty text. Columns named like the two new ones are replaced.
+    ``path`` is a tokenizer file; the driver reads it and sends it to the tasks. A null or empty text has no tokens and
+    decodes to the empty text; bytes that are no UTF-8 decode to U+FFFD. Columns named like the two new ones are replaced.
     """
-    tokenizer = Tokenizer(docs, path or default_path())
-    return docs.withColumn(ids, tokenizer.encode(F.col(text))).withColumn(decoded, tokenizer.decode(F.col(ids)))
+    with open(path or default_path(), encoding="utf-8") as file:
+        content = docs.sparkSession.sparkContext.broadcast(file.read())
+    rows = docs.drop(ids, decoded)
+    at = rows.columns.index(text)
+    names = [*rows.columns, ids, decoded]
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = coder(content.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                lists = [mine.encode(t) for t in part.column(at).to_pylist()]
+                ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+                numbers = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
+                texts = pa.array([mine.decode(x.tolist()) for x in lists], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, numbers, texts], names=names)
+
+    schema = rows.select("*", F.lit(None).cast("array<int>").alias(ids), F.lit(None).cast("string").alias(decoded)).schema
+    return rows.mapInArrow(coded, schema)
