@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, lines, paragraphs, preferences, quality, simhash, suffix_tree, urls
+from tidemark.llm import bpe, decontaminate, lines, paragraphs, preferences, quality, secrets, simhash, suffix_tree, urls
 from tidemark.llm.sql import CHECKS as CHECKS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,8 @@ def op3_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.repeated(table(spark, folder, "documents")).drop("tie")
+
+
+@query
+def op6_secret_findings(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scanned(table(spark, folder, "documents"))
