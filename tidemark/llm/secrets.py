@@ -102,7 +102,9 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         "lower_share": share("[^a-z]"),
         "distinct_share": F.size(F.array_distinct(F.split("candidate", ""))) / F.length("candidate"),
         "class_changes": (runs - 1) / F.length("candidate"),
-        "in_path": yes(F.col("before").rlike(r"([/\\]|://\S*)$") | F.col("after").rlike(r"^[/\\.]\w")),
+        "in_path": yes(
+            F.col("before").rlike(r"([/\\]|://\S*)$") | F.col("candidate").rlike("^//|/[^/]+/") | F.col("after").rlike(r"^[/\\.]\w")
+        ),
         "slashes": F.length(F.regexp_replace("candidate", "[^/]", "")).cast("double"),
         "dashes": F.length(F.regexp_replace("candidate", "[^_-]", "")).cast("double"),
         "key_word": yes(low.rlike(rf"({KEY_WORDS})\W*(\w+\W+){{0,2}}$")),
