@@ -12,10 +12,10 @@ from catalog.views import START_MS, Views
 from tidemark import session
 from tidemark.functions import dates
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
-from tidemark.operators import dedup, projections, scoring
+from tidemark.operators import cdc, dedup, projections, scoring
 from tidemark.sinks import files, topics
 from tidemark.sources import dimensions, feeds
-from tidemark.streaming import flows, joins, runs, state
+from tidemark.streaming import flows, joins, runs, state, times
 from tidemark.streaming.times import EVENT_TIME, with_event_time
 
 
@@ -68,11 +68,46 @@ def stream_full_row_dedup(v: Views):
     return run(state.distinct_rows(pages))
 
 
-@query(f"""SELECT * FROM snapshot
-           WHERE window_start + {2 * MINUTE_MS} <= (SELECT max(ts) FROM page_log) - 3000""", "snapshot")
+CLOSING = "closing row"
+
+
+def with_closing_rows(pages: DataFrame) -> DataFrame:
+    """Pages, and for each a row of a user of its own a window later, so that all windows of the others close.
+
+    The rows of that user are counted per window before the shuffle; whoever reads the result leaves them out.
+    """
+    later = pages.withColumns({"uid": F.lit(CLOSING), "ts": F.col("ts") + 3 * 2 * MINUTE_MS, "search_item": F.lit(None).cast("string")})
+    device = F.col("deviceInfo")
+    later = later.withColumn("deviceInfo", device.withField("ar", F.lit("")))
+    return pages.unionByName(later)
+
+
+@query("SELECT * FROM snapshot", "snapshot")
 def stream_running_state(v: Views):
     pages = projections.with_uid(projections.page(streams(v).page_logs()))
-    return run(flows.page_snapshots(pages, ttl_ms=None))
+    return run(flows.page_snapshots(with_closing_rows(pages), ttl_ms=None)).filter(F.col("uid") != CLOSING)
+
+
+@query("SELECT * EXCLUDE window_start, ts AS ts_ms FROM base2", "base2")
+def stream_base2_feed(v: Views):
+    """The page feed as a stream in which a third of the page logs comes twice."""
+    logs = streams(v).page_logs()
+    again = streams(v).page_logs().filter(F.col("event_id") % 3 == 0)
+    pages = projections.with_uid(projections.page(logs.unionByName(again)))
+    rows = run(flows.page_feed(with_closing_rows(pages), keywords(v), ttl_ms=None))
+    return rows.filter(F.col("uid") != CLOSING).drop("window_start")
+
+
+@query("""SELECT e.event_id, e.user_id, c.c_name AS d_name FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey""")
+def stream_dim_lookup(v: Views):
+    """Events looked up in a dimension that is read again for every batch."""
+    folder = session.shared_folder(v.spark)
+    events = streams(v).table("events").select("event_id", "user_id")
+    dim = lambda: v.table("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    write = runs.enriched(dim, "user_id", files.batch_folders(f"{folder}/rows", "parquet"), prefix="d_")
+    writer = events.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(write)
+    runs.start(writer, v.spark, trigger=None).awaitTermination()
+    return v.spark.read.parquet(f"{folder}/rows").select("event_id", "user_id", "d_name")
 
 
 @query(f"""SELECT uid, window_start, ts, event_id, ch FROM (
@@ -199,3 +234,44 @@ def stream_dimension_versions(v: Views):
     )
     runs.start(writer, v.spark, trigger=None).awaitTermination()
     return dimensions.current_version(v.spark, f"{folder}/dim")
+
+
+@query("""SELECT o_custkey AS id, max(o_orderkey) AS seq, arg_max(o_orderpriority, o_orderkey) AS name FROM orders GROUP BY o_custkey""")
+def topic_upsert_round_trip(v: Views):
+    """Rows written as key and value, of which the last per key counts."""
+    folder = session.shared_folder(v.spark)
+    rows = v.table("orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("name"))
+    topics.upsert(rows, "id").write.parquet(folder)
+    stored = v.spark.read.schema("key STRING, value STRING").parquet(folder)
+    read = stored.select(F.from_json("value", rows.schema).alias("r")).select("r.*", F.lit("u").alias("op"))
+    return cdc.latest_per_key(read, "id", ["seq"]).drop("op")
+
+
+@query("SELECT uid, count(*) AS n, sum(age)::BIGINT AS ages FROM profile GROUP BY uid", "profile")
+def feed_view_sql(v: Views):
+    """A feed under a name, asked in SQL."""
+    feeds.feed_view("user_feed", projections.user(v.user_changes(), AS_OF).select("uid", "age"))
+    return v.spark.sql("SELECT uid, count(*) AS n, sum(age) AS ages FROM user_feed GROUP BY uid")
+
+
+@query("SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def dimension_view_lookup(v: Views):
+    """A dimension under a name, joined in SQL."""
+    dimensions.dimension_view("customer_dim", v.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+    feeds.feed_view("order_feed", v.table("orders").select("o_orderkey", "o_custkey"))
+    return v.spark.sql("SELECT o.o_orderkey, d.name AS c_name FROM order_feed o LEFT JOIN customer_dim d ON o.o_custkey = d.id")
+
+
+@query("""SELECT o_orderkey, o_totalprice AS "sum_18_24", o_totalprice * 2 AS "sum_50", o_custkey AS other FROM orders""")
+def plain_bucket_names(v: Views):
+    price = F.col("o_totalprice")
+    rows = v.table("orders").select("o_orderkey", price.alias("sum_18~24"), (price * 2).alias("sum_50"), F.col("o_custkey").alias("other"))
+    return projections.plain_bucket_names(rows)
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id * 10 ELSE event_id END * 1000 AS ms FROM events""")
+def block_event_time(v: Views):
+    """Event time of a stream from the block's seconds, else the record's."""
+    key = F.col("event_id")
+    rows = streams(v).table("events").select("event_id", F.when(key % 2 == 0, key * 10).alias("block_timestamp"), key.alias("timestamp"))
+    return run(times.with_block_time(rows, "0 seconds").select("event_id", F.unix_millis(EVENT_TIME).alias("ms")))

@@ -76,7 +76,7 @@ def test_streams_give_the_labels_of_the_batch_jobs(spark, tmp_path):
     stages = jobs.Stages(f"{tmp_path}/stream")
     jobs.start_capture(spark, feeds.folder(f"{tmp_path}/changes"), stages, None).awaitTermination()
     captured = feeds.text_feed(spark, feeds.folder(stages.rows("changes")), streaming=True)
-    for started in jobs.start_feeds(captured, read("pages", True), dims(spark), stages, "2025-05-12", None).values():
+    for started in jobs.start_feeds(captured, read("pages", True), dims(spark), stages, "2025-05-12", None, ttl_ms=None).values():
         started.awaitTermination()
     jobs.start_labels(spark, stages, None).awaitTermination()
     rows = spark.read.parquet(stages.rows("labels"))
@@ -86,7 +86,7 @@ def test_streams_give_the_labels_of_the_batch_jobs(spark, tmp_path):
 
     names = spark.createDataFrame([(0, "性价比", "苹果"), (1, "学习与发展", "联想")], "sku_id BIGINT, bcname STRING, btname STRING")
     other = spark.createDataFrame([("10", "长粒香", "科技与数码")], "order_id STRING, base_trademark_name STRING, base_category_name STRING")
-    jobs.start_user_sums(captured, names, other, stages, "2025-05-12", None).awaitTermination()
+    jobs.start_user_sums(captured, names, other, stages, "2025-05-12", None, ttl_ms=None).awaitTermination()
     summed = spark.read.parquet(stages.rows("user_sums"))
     envelopes = cdc.parse_envelope(read("changes"))
     table = lambda name: cdc.table(envelopes, name)

@@ -6,7 +6,6 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
-from tidemark import session
 
 WRITES = {
     name for name in entry.queries()
@@ -50,9 +49,3 @@ def test_change_text_is_parsed_once(spark):
 def test_day_list_prunes_partitions(spark):
     df = entry.queries()["partitioned_layout_prune"](spark, DATA)
     assert "PartitionFilters: [dt" in plan(df) or "PartitionFilters: [isnotnull(dt" in plan(df)
-
-
-def test_settings_grow_with_the_input():
-    assert session.sized_for(10 << 30)["spark.sql.shuffle.partitions"] == "200"
-    assert session.sized_for(1 << 40)["spark.sql.shuffle.partitions"] == str(8192)
-    assert session.sized_for(100 << 40)["spark.sql.shuffle.partitions"] == "50000"

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import session
+from tidemark.operators import joins as batch_joins
 from tidemark.operators import running
 from tidemark.sinks import files, topics
 from tidemark.sources import dimensions, feeds
-from tidemark.streaming import joins, runs, state, times
+from tidemark.streaming import flows, joins, runs, state, times
 
 
 def add_batch(path, number, rows):
@@ -217,3 +218,45 @@ def test_dimension_is_read_again_for_each_batch(spark, tmp_path):
     runs.start(writer, spark, trigger=None).awaitTermination()
     got = spark.read.parquet(dim).select("k", "d_name").collect()
     assert sorted(map(tuple, got)) == [("a", "v1"), ("b", "v2")]
+
+
+def test_many_times_of_one_key_in_one_batch(spark, tmp_path, monkeypatch):
+    import random
+
+    monkeypatch.setattr(state, "HELD_TIMES", 20_000)
+    order = list(range(25_000)) + list(range(0, 25_000, 10))
+    random.Random(1).shuffle(order)
+    add_batch(f"{tmp_path}/in", 0, [{"k": "x", "ts_ms": t} for t in order])
+    rows = stream(spark, f"{tmp_path}/in", "k STRING, ts_ms BIGINT")
+    got = run(state.increasing_only(rows, "k", ttl_ms=None), tmp_path / "out")
+    assert got.count() == got.distinct().count() == 25_000
+
+
+def test_many_windows_of_one_user_in_one_batch(spark, tmp_path):
+    import random
+
+    order = list(range(15_000))
+    random.Random(1).shuffle(order)
+    add_batch(f"{tmp_path}/in", 0, [{"uid": "u", "ts": t * 120_000, "os": "i"} for t in order])
+    rows = stream(spark, f"{tmp_path}/in", "uid STRING, ts BIGINT, os STRING")
+    got = run(state.running_sets(rows, "uid", "ts", ("os",), ("ts",), ttl_ms=None), tmp_path / "out")
+    assert got.filter("pv = ts / 120000 + 1").count() == 15_000
+
+
+def test_copies_of_a_page_count_once_over_batches(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    page = {"uid": "u", "ts": 1000, "deviceInfo": {"os": "iOS", "ch": "c", "md": "m", "ba": "b"}, "search_item": "k"}
+    add_batch(source, 0, [page, page, page])
+    add_batch(source, 1, [page, {**page, "ts": 2000}])
+    add_batch(source, 2, [{**page, "uid": "other", "ts": 900_000}])
+    schema = "uid STRING, ts BIGINT, deviceInfo STRUCT<os: STRING, ch: STRING, md: STRING, ba: STRING>, search_item STRING"
+    got = run(flows.page_snapshots(stream(spark, source, schema), ttl_ms=None), tmp_path / "out")
+    assert [(r.uid, r.pv) for r in got.filter("uid = 'u'").collect()] == [("u", 2)]
+
+
+def test_stream_looks_up_a_large_dimension(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch_joins, "BROADCAST_ROWS", 0)
+    add_batch(f"{tmp_path}/in", 0, [{"k": "a"}, {"k": "b"}, {"k": None}])
+    dim = spark.createDataFrame([("a", "x")], "k STRING, name STRING")
+    rows = batch_joins.lookup_join(stream(spark, f"{tmp_path}/in", "k STRING"), dim, "k")
+    assert sorted((str(r.k), str(r.name)) for r in run(rows, tmp_path / "out").collect()) == [("None", "None"), ("a", "x"), ("b", "None")]

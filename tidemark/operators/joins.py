@@ -169,13 +169,14 @@ def lookup_join(
     """Add dimension columns by key; rows without a match pass with nulls. ``dim`` is unique by ``on``.
 
     A dimension that proves small is broadcast. A larger one is shuffled, with the rows of hot keys salted and
-    rows without a key spread over all tasks.
+    rows without a key spread over all tasks. For a stream hot keys are only known from a static ``hot_from``.
     """
     columns = [c for c in dim.columns if c != on] if columns is None else list(columns)
     wanted = dim.select(on, *[F.col(c).alias(prefix + c) for c in columns])
     if small_enough(wanted, max_broadcast_rows):
         return df.join(F.broadcast(wanted), on, "left")
-    hot = skew.find_hot(df if hot_from is None else hot_from, on, hot_rows)
+    counted = df if hot_from is None else hot_from
+    hot = None if counted.isStreaming else skew.find_hot(counted, on, hot_rows)
     split, copied = skew.salted_pair(df, wanted, on, hot)
     return split.join(copied, [on, "_salt"], "left").drop("_salt")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,23 +25,8 @@ def builder(name: str = "tidemark") -> SparkSession.Builder:
     return build
 
 
-def sized_for(input_bytes: int) -> dict[str, str]:
-    """Settings by input size: shuffle partitions of about 128 MB, which AQE then merges or splits.
-
-    At 100 TB that is 400,000 input tasks of 256 MB, and the shuffle count stops at
-    50,000, above which the bookkeeping of a shuffle costs more than larger partitions do.
-    """
-    partitions = min(max(200, input_bytes // (128 << 20)), 50_000)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
-    }
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; only where that is unset (tests), a local one."""
+    """A new folder below ``spark.checkpoint.dir``; where that is unset, below the warehouse, which tasks write to as well."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tidemark/{uuid.uuid4().hex}"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.text import camel_case_columns
 
@@ -30,13 +29,18 @@ def from_files(spark: SparkSession, path: str, format: str = "parquet", camel_ca
     return camel_case_columns(rows) if camel_case else rows
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the ``version=`` folders below ``path``, by listing that one folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [entry.getPath().getName() for entry in store.listStatus(place)]
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+
 def current_version(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:
-    """The newest version of a versioned dimension folder, found by a scan of partition values only."""
-    versions = spark.read.parquet(path)
-    if below is not None:
-        versions = versions.filter(F.col("version") < below)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+    """The newest version of a versioned dimension folder; no other version is opened."""
+    newest = max(v for v in versions(spark, path) if below is None or v < below)
+    return spark.read.parquet(f"{path}/version={newest}")
 
 
 def dimension_view(name: str, rows: DataFrame) -> None:
