@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shipped
+from tidemark.llm.common import shipped, slices
 
 shipped(__name__)
 
@@ -33,8 +33,6 @@ PLACE = (1 << 40) - 1
 #: Words in the newer and in the older half of a Python worker's table, and the longest word kept.
 KEPT_WORDS = 250_000
 KEPT_LENGTH = 64
-#: Texts whose ids a task holds at a time.
-SLICE = 256
 
 
 def byte_characters() -> dict[str, int]:
@@ -183,14 +181,12 @@ def tokenized(docs: DataFrame, path: str | None = None, text: str = "text", ids:
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = coder(content.value)
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                lists = [mine.encode(t) for t in part.column(at).to_pylist()]
-                ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-                numbers = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
-                texts = pa.array([mine.decode(x.tolist()) for x in lists], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, numbers, texts], names=names)
+        for part in slices(batches):
+            lists = [mine.encode(t) for t in part.column(at).to_pylist()]
+            ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+            numbers = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
+            texts = pa.array([mine.decode(x.tolist()) for x in lists], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns, numbers, texts], names=names)
 
     schema = rows.select("*", F.lit(None).cast("array<int>").alias(ids), F.lit(None).cast("string").alias(decoded)).schema
     return rows.mapInArrow(coded, schema)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,16 @@ def shipped(name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+shipped(__name__)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, for tasks that make many Python objects of each."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read from there, so that lost executors cost no recomputation.
 

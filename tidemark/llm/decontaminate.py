@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, free_name, shipped
+from tidemark.llm.common import checkpointed, free_name, shipped, slices
 
 shipped(__name__)
 
@@ -223,7 +223,7 @@ def _finder(given, q: int, rate: float):
     def finds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = block_of(given.value, q, rate)
         item_type = None
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             row, hits = [], []
             for i, text in enumerate(texts):

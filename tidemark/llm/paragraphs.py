@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup
-from tidemark.llm.common import shipped
+from tidemark.llm.common import shipped, slices
 
 shipped(__name__)
 
@@ -93,7 +93,7 @@ def places(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 (i, at, end, *name_of(b" ".join(words)), len(words))
                 for i, text in enumerate(batch.column(2).to_pylist()) for at, end, words in paragraphs(text)
@@ -124,7 +124,7 @@ def band_rows(docs: DataFrame, text: str, bands: int) -> DataFrame:
     """``h1``, ``h2``, ``size`` of the shingle set and ``key`` of each paragraph and band."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lines = _distinct_lines(batch.column(0).to_pylist())
             if lines:
                 sets = [shingle_hashes(words, line) for line, words in lines.values()]
@@ -140,7 +140,7 @@ def shingle_sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
     """``node`` and ``shingles`` of the paragraphs in ``named`` (``node``, ``h1``, ``h2``)."""
 
     def lined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lines = _distinct_lines(batch.column(0).to_pylist())
             if lines:
                 each = pa.array([line for line, _ in lines.values()], pa.binary())
