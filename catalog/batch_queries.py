@@ -181,14 +181,12 @@ def page_log_project(v: Views):
     return flat_page(projections.with_uid(projections.page(cdc.parse_page_log(v.page_feed_text()))))
 
 
-@query(f"SELECT DISTINCT uid, ts // {DAY_MS} * {DAY_MS} AS ts, os, ch, search_item FROM page_log", "page_log")
+@query("SELECT DISTINCT uid, ts, os, ch, md, ba, ar, vc, search_item FROM page_log", "page_log")
 def page_log_dedup_full_row(v: Views):
-    day = F.floor(F.col("ts") / DAY_MS) * DAY_MS
-    pages = projections.with_uid(projections.page(v.page_logs())).select(
-        "uid", day.cast("bigint").alias("ts"), F.col("deviceInfo.os").alias("os"),
-        F.col("deviceInfo.ch").alias("ch"), "search_item",
-    )
-    return dedup.full_row(pages)
+    """All page logs, a third of them twice."""
+    logs = v.page_logs()
+    pages = projections.with_uid(projections.page(logs.unionByName(logs.filter(F.col("event_id") % 3 == 0))))
+    return flat_page(dedup.full_row(pages))
 
 
 RUNNING = """
@@ -434,9 +432,9 @@ def amount_score(v: Views):
     return scoring.add_scores(orders, {"amount": scoring.amount_vector(F.col("total_amount"))}).drop("total_amount")
 
 
-@query(f"SELECT sku_id, {S.BRAND} FROM sku", "sku")
+@query(f"SELECT sku_id, {S.BRAND} FROM (SELECT sku_id, tname FROM sku UNION ALL SELECT sku_id, 'late' FROM sku)", "sku")
 def brand_score(v: Views):
-    skus = v.sku_dim().filter("spuid = 0").select(F.col("skuid").alias("sku_id"), "tname")
+    skus = v.sku_dim().select(F.col("skuid").alias("sku_id"), "tname")
     return scoring.add_scores(skus, {"tname": scoring.brand_vector(F.col("tname"))}).drop("tname")
 
 
@@ -449,7 +447,8 @@ def category_score(v: Views):
 
 
 def order_feed(v: Views):
-    return flows.order_feed(v.order_changes(), v.detail_changes(), v.sku_dim(), v.type_categories())
+    orders, details = cdc.live(v.order_changes()), cdc.live(v.detail_changes())
+    return flows.order_feed(orders, details, v.sku_dim(), v.type_categories())
 
 
 BASE4 = f"""{LINE_COLUMNS}, c3id, tname, b1_name, {S.columns('pay_time')}, {S.columns('amount')},
@@ -545,7 +544,8 @@ def staged_final_label(v: Views):
 def order_sums(v: Views):
     names = dimensions.sku_names(v.dictionary_skus(), v.dictionary())
     orders = v.order_changes("id", "create_time", "total_amount", "user_id")
-    return flows.order_sums(orders, v.detail_changes("order_id", "sku_id"), names, v.overrides())
+    details = v.detail_changes("order_id", "sku_id")
+    return flows.order_sums(cdc.live(orders), cdc.live(details), names, v.overrides())
 
 
 @query(f"SELECT order_id, uid, ts_ms, sku_id, btname, bcname, {S.columns('sum')} FROM order_sum", "order_sum")

@@ -168,7 +168,7 @@ DEPENDS["fresh"] = [*DEPENDS["lines"], "lines"]
 
 VIEWS["base4"] = f"""
     SELECT *, {PAY_TIME}, {AMOUNT}, {BRAND}, {CATEGORY} FROM (
-      SELECT f.*, s.c3id, s.tname, s.b1_name FROM fresh f LEFT JOIN sku s ON f.sku_id = s.sku_id)"""
+      SELECT f.*, s.c3id, s.tname, s.b1_name FROM fresh f LEFT JOIN sku s ON f.sku_id = s.sku_id WHERE f.op <> 'd')"""
 DEPENDS["base4"] = [*DEPENDS["fresh"], "fresh", "sku"]
 
 AS_OF = "DATE '2025-05-12'"
@@ -223,7 +223,7 @@ SUMS = ", ".join(
 VIEWS["order_fresh"] = """
     SELECT order_id, ts_ms, any_value(uid) AS uid, any_value(op) AS op, any_value(create_time) AS create_time,
            any_value(total_amount) AS total_amount, min(sku_id) AS sku_id
-    FROM order_sku GROUP BY order_id, ts_ms"""
+    FROM order_sku WHERE op <> 'd' GROUP BY order_id, ts_ms"""
 DEPENDS["order_fresh"] = [*DEPENDS["order_sku"], "order_sku"]
 VIEWS["order_sum"] = f"""
     SELECT order_id, uid, ts_ms, sku_id, btname, bcname, {SUMS} FROM (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import sql as S
-from catalog.batch_queries import AS_OF, keywords
+from catalog.batch_queries import AS_OF, flat_page, keywords
 from catalog.registry import query
 from catalog.views import START_MS, Views
 from tidemark import session
@@ -59,13 +59,13 @@ def stream_monotone_dedup_ttl(v: Views):
     return run(lines.select("detail_id", "ts_ms", "uid", "order_id"), idle=False)
 
 
-@query(f"SELECT DISTINCT uid, ts // {DAY_MS} * {DAY_MS} AS ts, os, ch FROM page_log", "page_log")
+@query("SELECT DISTINCT uid, ts, os, ch, md, ba, ar, vc, search_item FROM page_log", "page_log")
 def stream_full_row_dedup(v: Views):
-    pages = projections.with_uid(projections.page(streams(v).page_logs())).select(
-        "uid", (F.floor(F.col("ts") / DAY_MS) * DAY_MS).cast("bigint").alias("ts"),
-        F.col("deviceInfo.os").alias("os"), F.col("deviceInfo.ch").alias("ch"),
-    )
-    return run(state.distinct_rows(pages))
+    """All page logs, a third of them twice."""
+    logs = streams(v).page_logs()
+    again = streams(v).page_logs().filter(F.col("event_id") % 3 == 0)
+    pages = projections.with_uid(projections.page(logs.unionByName(again)))
+    return run(flat_page(state.distinct_rows(with_event_time(pages, "ts"))))
 
 
 CLOSING = "closing row"

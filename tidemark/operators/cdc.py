@@ -43,6 +43,11 @@ def table(envelopes: DataFrame, name: str, schema: str | None = None) -> DataFra
     )
 
 
+def live(changes: DataFrame) -> DataFrame:
+    """Parsed changes of one table without deletes."""
+    return changes.filter((F.col("op") != DELETE) & F.col("after").isNotNull())
+
+
 def flatten(df: DataFrame, key: str = "key", topic: str = "topic") -> DataFrame:
     """One flat row per change: id, op, database, tableName, before, after, ts.
 
