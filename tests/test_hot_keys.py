@@ -63,6 +63,24 @@ def test_chunks_follow_the_order(left):
     assert chunked.filter("uid <> 'hot' AND _chunk <> 0").count() == 0
 
 
+def test_far_positions_and_bursts_do_not_fill_one_chunk(spark):
+    burst = [("hot", 5_000_000 + i) for i in range(4_000)]
+    rows = [("hot", None), ("hot", 0), ("hot", 10**15)] + [("hot", 10**9 + 1000 * i) for i in range(4_000)] + burst
+    df = spark.createDataFrame(rows, "uid STRING, ts_ms BIGINT")
+    ranges = skew.find_hot_ranges(df, "uid", "ts_ms", 1_000)
+    chunks = skew.with_chunk(df, ranges, "uid", "ts_ms").groupBy("_chunk").agg(F.min("ts_ms"), F.max("ts_ms"), F.count("*")).orderBy("_chunk").collect()
+    assert max(c[3] for c in chunks) <= 2 * 1_000 and chunks[0][0] == -1 and chunks[0][3] == 1
+    assert all(a[2] < b[1] for a, b in zip(chunks[1:], chunks[2:]))
+
+
+def test_all_hot_keys_are_found_and_cut_by_their_rows(spark):
+    rows = spark.range(300_000).select((F.col("id") % 1_500).alias("k")).union(spark.range(20_000).select(F.lit(7).cast("bigint")))
+    found = skew.find_hot(rows, "k", 200).collect()
+    assert len(found) == 1_500
+    parts = {r["k"]: r["_parts"] for r in found}
+    assert parts[7] == 404 and parts[8] == 4
+
+
 @pytest.mark.parametrize("hot_rows", [50, 10_000])
 def test_running_values(left, con, hot_rows):
     got = running.with_running(
@@ -102,7 +120,7 @@ def test_interval_join(left, right, con, hot_rows, lower, upper, sides):
         return {"right": None, "left": some(right, "nobody"), "both": None}[sides]
 
     got = joins.hot_interval_join(
-        left, right, "uid", lower, upper, hot_rows=hot_rows, salts=3, hot_from=hot_in(right), left_hot_from=hot_in(left)
+        left, right, "uid", lower, upper, hot_rows=hot_rows, hot_from=hot_in(right), left_hot_from=hot_in(left)
     )
     want = con.sql(f"""SELECT l.n, r.m FROM l JOIN r ON l.uid = r.uid
         AND r._right_ts BETWEEN l.ts_ms + {lower} AND l.ts_ms + {upper}""").fetchall()

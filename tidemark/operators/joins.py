@@ -41,7 +41,6 @@ def hot_interval_join(
     hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
     left_hot_from: DataFrame | None = None,
-    salts: int = skew.SALTS,
 ) -> DataFrame:
     """:func:`interval_join` for keys that may be hot on the right, or with ``left_hot_from`` on either side.
 
@@ -56,26 +55,26 @@ def hot_interval_join(
     hot = skew.find_hot(right if hot_from is None else hot_from, key, hot_rows)
     left_hot = None if left_hot_from is None else skew.find_hot(left_hot_from, key, hot_rows)
     if left_hot is None:
-        return _split_right(left, right, key, *bounds, hot, salts)
+        return _split_right(left, right, key, *bounds, hot)
     if hot is not None:
         left_hot = left_hot.join(F.broadcast(hot), key, "left_anti")
     keys = F.broadcast(left_hot.select(key))
     swapped = _split_right(
         right.join(keys, key, "left_semi"), left.join(keys, key, "left_semi"), key,
-        -upper_ms, -lower_ms, right_time, left_time, left_hot, salts,
+        -upper_ms, -lower_ms, right_time, left_time, left_hot,
     )
-    rest = _split_right(left.join(keys, key, "left_anti"), right.join(keys, key, "left_anti"), key, *bounds, hot, salts)
+    rest = _split_right(left.join(keys, key, "left_anti"), right.join(keys, key, "left_anti"), key, *bounds, hot)
     return rest.unionByName(swapped)
 
 
 def _split_right(
     left: DataFrame, right: DataFrame, key: str, lower_ms: int, upper_ms: int, left_time: str, right_time: str,
-    hot: DataFrame | None, salts: int,
+    hot: DataFrame | None,
 ) -> DataFrame:
     if hot is None:
         return interval_join(left, right, key, lower_ms, upper_ms, left_time, right_time)
     hot = F.broadcast(hot)
-    is_hot = F.coalesce("_hot", F.lit(False))
+    is_hot = F.col("_parts").isNotNull()
     width = upper_ms - lower_ms + 1
     cell = lambda time: F.floor(time / width)
     none = F.lit(0).cast("bigint")
@@ -84,15 +83,15 @@ def _split_right(
     left_cells = (
         left.join(hot, key, "left")
         .withColumn("_cell", F.explode(F.when(is_hot, cells).otherwise(F.array(none))))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(is_hot, salts - 1).otherwise(0))))
-        .drop("_hot")
+        .withColumn("_salt", skew.every_salt(F.col("_parts")))
+        .drop("_parts")
     )
     right_cells = (
-        right.withColumn("_salt", skew.row_salt(right, salts))
+        right.withColumn("_any", skew.spread(right))
         .join(hot, key, "left")
-        .withColumn("_salt", F.when(is_hot, F.col("_salt")).otherwise(0))
+        .withColumn("_salt", skew.salt(F.col("_parts"), F.col("_any")))
         .withColumn("_cell", F.when(is_hot, cell(F.col(right_time))).otherwise(none))
-        .drop("_hot")
+        .drop("_parts", "_any")
     )
     gap = F.col(right_time) - F.col(left_time)
     return (

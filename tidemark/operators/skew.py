@@ -1,13 +1,12 @@
 """Finding and splitting hot keys.
 
-One key may hold a large share of all rows. ``find_hot`` asks the data for the keys above a row count, at
-most ``MAX_HOT_KEYS`` of them, hottest first. When there are none, the operators built on it use their
-plain plan.
-
-The list only steers how rows are spread over tasks and never which rows come out. So it is safe to bound
-it (a key that is not on a full list holds less than 1/MAX_HOT_KEYS of the rows), to find it in a sample
-of one column, to take it from any cheaper table with the same keys, such as the raw log behind a feed,
-and to broadcast it. It is found once per join, before the join is planned, so both sides use one list.
+One key may hold a large share of all rows. ``find_hot`` asks the data for the keys above a row count, and for how
+many parts each should be cut into. When there are none, the operators built on it use their plain plan.
+
+The list only steers how rows are spread over tasks and never which rows come out. So it is safe to find it in a
+sample of one column, to take it from any cheaper table with the same keys, such as the raw log behind a feed, and to
+broadcast it: it has at most one key per ``min_rows`` rows. It is found once per join, before the join is planned, so
+both sides use one list.
 """
 
 from __future__ import annotations
@@ -16,21 +15,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1024
-MAX_CHUNKS = 1024
-SALTS = 16
 SAMPLED_ROWS = 2_000
+#: Parts of a hot key per ``min_rows`` rows.
+PARTS = 4
+#: Quantiles at which the positions of a hot key are cut first, before even cuts between them.
+QUANTILES = 16
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int | None = None, position: str | None = None) -> DataFrame:
-    """The hottest keys of ``df``; with ``position``, also its range within each key.
+    """The hot keys of ``df``, hottest first, with their rows and ``_parts``; with ``position``, also its quantiles.
 
     Rows are counted in a sample in which a key of ``min_rows`` has about ``SAMPLED_ROWS``.
     """
     min_rows = min_rows or HOT_ROWS
     fraction = min(1.0, SAMPLED_ROWS / min_rows)
-    columns = [key] if position is None else [key, position]
-    extra = [] if position is None else [F.min(position).alias("_low"), F.max(position).alias("_high")]
+    columns, extra = [key], []
+    if position is not None:
+        at = [i / QUANTILES for i in range(QUANTILES + 1)]
+        columns.append(position)
+        extra.append(F.percentile_approx(position, at, 10_000).alias("_cuts"))
     rows = df.select(*columns).filter(F.col(key).isNotNull())
     if fraction < 1:
         rows = rows.sample(fraction, seed=1)
@@ -38,8 +41,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int | None = None, position: str
         rows.groupBy(key)
         .agg((F.count("*") / F.lit(fraction)).alias("_rows"), *extra)
         .filter(F.col("_rows") >= min_rows)
+        .withColumn("_parts", F.greatest(F.ceil(F.col("_rows") * PARTS / min_rows), F.lit(2)).cast("int"))
         .orderBy(F.desc("_rows"), F.col(key))
-        .limit(MAX_HOT_KEYS)
     )
 
 
@@ -49,45 +52,58 @@ def _found(hot: DataFrame) -> DataFrame | None:
 
 
 def find_hot(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame | None:
-    """Hot keys with a ``_hot`` flag, or None."""
-    return _found(hot_keys(df, key, min_rows).select(key, F.lit(True).alias("_hot")))
+    """Hot keys with their ``_parts``, or None."""
+    return _found(hot_keys(df, key, min_rows).select(key, "_parts"))
 
 
 def find_hot_ranges(df: DataFrame, key: str, position: str, min_rows: int | None = None) -> DataFrame | None:
-    """Hot keys with the start of their ``position`` range and the width of its chunks, or None."""
-    min_rows = min_rows or HOT_ROWS
-    chunks = F.least(F.ceil(F.col("_rows") * 4 / min_rows), F.lit(MAX_CHUNKS))
-    width = F.floor((F.col("_high") - F.col("_low")) / chunks) + 1
-    return _found(hot_keys(df, key, min_rows, position).select(key, "_low", width.alias("_width")))
+    """Hot keys with the ``_cuts`` of their ``position`` and the even parts (``_even``) between two cuts, or None."""
+    even = F.ceil(F.col("_parts") / QUANTILES).cast("int").alias("_even")
+    return _found(hot_keys(df, key, min_rows, position).select(key, "_cuts", even))
 
 
 def with_chunk(df: DataFrame, ranges: DataFrame, key: str, position: str) -> DataFrame:
-    """Number the chunk of ``position`` each row of a hot key is in; rows of other keys get chunk 0."""
-    chunk = F.coalesce(F.floor((F.col(position) - F.col("_low")) / F.col("_width")), F.lit(0))
-    return df.join(F.broadcast(ranges), key, "left").withColumn("_chunk", chunk).drop("_low", "_width")
+    """Number the chunk of ``position`` each row of a hot key is in; rows of other keys get chunk 0.
+
+    Chunks grow with the position, and rows without one come first, as in a sort. The cuts follow the rows, so a few
+    far positions or a burst do not put the others in one chunk; rows of one position stay together.
+    """
+    at = F.col(position)
+    cut = F.least(F.greatest(F.size(F.filter("_cuts", lambda x: x <= at)), F.lit(1)), F.lit(QUANTILES))
+    low, high = F.get("_cuts", cut - 1), F.get("_cuts", cut)
+    part = F.floor((at - low) / (F.floor((high - low) / F.col("_even")) + 1))
+    inside = F.least(F.greatest(part, F.lit(0)), F.col("_even") - 1)
+    chunk = F.when(at.isNull(), -1).otherwise((cut - 1) * F.col("_even") + inside)
+    hot = F.col("_even").isNotNull()
+    joined = df.join(F.broadcast(ranges), key, "left")
+    return joined.withColumn("_chunk", F.when(hot, chunk).otherwise(0).cast("bigint")).drop("_cuts", "_even")
+
+
+def spread(df: DataFrame) -> Column:
+    """A number from the row's own values, so that a re-run task puts a row where it was."""
+    return F.xxhash64(*df.columns).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+
+
+def salt(hot_parts: Column, number: Column) -> Column:
+    """The part of a hot key a row is in; zero for other keys."""
+    return F.when(hot_parts.isNotNull(), F.pmod(number, hot_parts)).otherwise(0)
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
-    """A salt from the row's own values, so that a re-run task gives a row the same salt."""
-    return F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+def every_salt(hot_parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.coalesce(hot_parts, F.lit(1)) - 1))
 
 
-def salted_pair(
-    big: DataFrame, other: DataFrame, key: str, hot: DataFrame | None, salts: int = SALTS
-) -> tuple[DataFrame, DataFrame]:
+def salted_pair(big: DataFrame, other: DataFrame, key: str, hot: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Give both sides a ``_salt`` to join on: hot keys of ``big`` are split, ``other`` copied to match.
 
     Rows of ``other`` under any other key are not copied. Rows of ``big`` without a key match nothing and
     are spread by their own hash.
     """
-    anywhere = F.xxhash64(*big.columns).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     if hot is None:
-        split = big.withColumn("_salt", F.when(F.col(key).isNull(), anywhere).otherwise(0))
+        split = big.withColumn("_salt", F.when(F.col(key).isNull(), spread(big)).otherwise(0))
         return split, other.withColumn("_salt", F.lit(0))
     hot = F.broadcast(hot)
-    is_hot = F.coalesce("_hot", F.lit(False))
-    salt = F.when(F.col(key).isNull(), F.col("_any")).when(is_hot, F.pmod("_any", F.lit(salts))).otherwise(0)
-    split = big.withColumn("_any", anywhere).join(hot, key, "left").withColumn("_salt", salt).drop("_hot", "_any")
-    every_salt = F.sequence(F.lit(0), F.when(is_hot, F.lit(salts - 1)).otherwise(0))
-    copied = other.join(hot, key, "left").withColumn("_salt", F.explode(every_salt)).drop("_hot")
+    number = F.when(F.col(key).isNull(), F.col("_any")).otherwise(salt(F.col("_parts"), F.col("_any")))
+    split = big.withColumn("_any", spread(big)).join(hot, key, "left").withColumn("_salt", number).drop("_parts", "_any")
+    copied = other.join(hot, key, "left").withColumn("_salt", every_salt(F.col("_parts"))).drop("_parts")
     return split, copied
