@@ -9,7 +9,8 @@ from tidemark.llm import neardup, paragraphs, queries
 
 
 def plain(rows):
-    """Place of each paragraph with a partner, by component, as (key, text, start)."""
+    """Place of each paragraph with a partner, by component, as (key, text, start); short stretches left out."""
+    end = {(d, t or "", a): (b, len(ws)) for d, t in rows for a, b, ws in paragraphs.paragraphs(t)}
     found = [((d, t or "", a), [w.decode() for w in ws]) for d, t in rows for a, _, ws in paragraphs.paragraphs(t)]
     found = list({p: ws for p, ws in found}.items())
     sets = [{tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} for _, ws in found]
@@ -28,6 +29,22 @@ def plain(rows):
     out = {}
     for i, (p, _) in enumerate(found):
         out.setdefault(root(i), set()).add(p)
+    texts_ = {}
+    for g in out.values():
+        for p in g if len(g) > 1 else ():
+            texts_.setdefault(p[:2], []).append(p)
+    long = set()
+    for places in texts_.values():
+        stretch, far = [], None
+        for p in [*sorted(places, key=lambda p: p[2]), None]:
+            if p is None or (far is not None and p[2] - far > paragraphs.GAP):
+                if sum(end[x][1] for x in stretch) >= paragraphs.MIN_STRETCH:
+                    long |= set(stretch)
+                stretch = []
+            if p is not None:
+                stretch.append(p)
+                far = max(far or 0, end[p][0])
+    out = {k: g & long for k, g in out.items()}
     return sorted(sorted(map(str, g)) for g in out.values() if len(g) > 1)
 
 

@@ -108,25 +108,36 @@ def shared(text: np.ndarray, block: Block, q: int) -> tuple[np.ndarray, np.ndarr
     return tuple(np.concatenate([empty, *(o[i] for o in out)]) for i in range(3))
 
 
-def regions(text: np.ndarray, block: Block, q: int) -> Iterator[tuple[int, int, int]]:
-    """Item, lowest diagonal of a band and q-grams shared there, for bands that meet the bound.
+def regions(text: np.ndarray, block: Block, q: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """Item, lowest diagonal of a band, distinct q-grams of the item shared there and their diagonals.
 
-    A band is 2k + 2 wide and the next begins k + 1 further on, so that any k + 1 adjacent diagonals are inside one.
+    Only bands that meet the bound come. A band is 2k + 2 wide and the next begins k + 1 further on, so that any k + 1
+    adjacent diagonals are inside one.
     """
     here, there, item = shared(text, block, q)
     if not len(here):
         return
     enough = np.bincount(item, minlength=len(block.ids))[item] >= block.need[item]
-    here, there, item = here[enough], there[enough], item[enough]
-    step = block.edits[item] + 1
-    diagonal = here - there
-    low = diagonal // step
-    both = [np.concatenate(x) for x in ((item, item), (low, low - 1), (there, there))]
-    kinds = np.unique(np.stack(both), axis=1)
-    bands, count = np.unique(kinds[:2], axis=1, return_counts=True)
-    for (i, band), n in zip(bands.T.tolist(), count.tolist()):
+    there, item, diagonal = there[enough], item[enough], (here - there)[enough]
+    if not len(item):
+        return
+    low = diagonal // (block.edits[item] + 1)
+    first = int(low.min()) - 1
+    count_bands = int(low.max()) - first + 1
+    band = item * count_bands + low - first
+    both = np.concatenate([band, band - 1])
+    bands, count = np.unique(both, return_counts=True)
+    some = count >= block.need[bands // count_bands]
+    if not some.any():
+        return
+    order = np.argsort(both, kind="stable")
+    ends = np.cumsum(count)
+    for b, start, end in zip(bands[some].tolist(), (ends - count)[some].tolist(), ends[some].tolist()):
+        mine = order[start:end] % len(band)
+        i = b // count_bands
+        n = len(np.unique(there[mine]))
         if n >= block.need[i]:
-            yield i, band * int(block.edits[i] + 1), n
+            yield i, (b % count_bands + first) * int(block.edits[i] + 1), n, diagonal[mine]
 
 
 def aligned(item: np.ndarray, text: np.ndarray, low: int, width: int, most: int) -> tuple[int, int, int] | None:
@@ -166,15 +177,27 @@ def aligned(item: np.ndarray, text: np.ndarray, low: int, width: int, most: int)
     return int(cost[best]), int(start[best]), int(low + len(item) + best)
 
 
+def exact(item: np.ndarray, text: np.ndarray, diagonals: np.ndarray) -> int | None:
+    """Where the text has the item as it is, on the diagonal with most shared q-grams, if there."""
+    values, count = np.unique(diagonals, return_counts=True)
+    at = int(values[count.argmax()])
+    return at if at >= 0 and np.array_equal(text[at : at + len(item)], item) else None
+
+
 def matches(text: str | None, block: Block, q: int = Q) -> list[tuple]:
-    """item id, start, end, edits and shared q-grams of each passage; of bands that overlap, the best passage."""
+    """item id, start, end, edits and shared q-grams of each passage; of passages that overlap, the best."""
     codes = characters(text)
     found: dict[int, list[tuple]] = {}
-    for i, low, n in regions(codes, block, q):
-        edits = int(block.edits[i])
-        hit = aligned(block.codes[i], codes, low, 2 * edits + 2, edits)
-        if hit:
-            found.setdefault(i, []).append((hit[0], hit[1], hit[2], n))
+    for i, low, n, diagonals in regions(codes, block, q):
+        item, edits = block.codes[i], int(block.edits[i])
+        hits = found.setdefault(i, [])
+        at = exact(item, codes, diagonals)
+        if at is not None:
+            hits.append((0, at, at + len(item), n))
+        elif not any(h[0] == 0 and low <= h[1] < low + 2 * edits + 2 for h in hits):
+            # Bands overlap; one that holds a passage without edits needs no second look.
+            if hit := aligned(item, codes, low, 2 * edits + 2, edits):
+                hits.append((*hit, n))
     out = []
     for i, hits in found.items():
         taken: list[tuple] = []

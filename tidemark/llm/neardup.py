@@ -93,18 +93,21 @@ def linked(rows: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], thres
     return in_components(components(near.union(_similar(rest, of(rest), threshold))))
 
 
-def members(found: DataFrame, near: DataFrame, key: str, at: str) -> DataFrame:
+def members(
+    found: DataFrame, near: DataFrame, key: str, at: str, wanted: Callable[[DataFrame], DataFrame] = lambda placed: placed
+) -> DataFrame:
     """Places whose unit repeats or is similar to another, with ``component`` and ``kept``; the others are left out.
 
     ``found`` has ``id``, ``tie``, the place ``at`` in the text, and ``h1`` and ``h2`` of the unit; ``near`` is the result of
-    :func:`linked`. Of a component the place with the smallest id stays (a null id is the largest), of several the one
+    :func:`linked`. ``wanted`` may leave out some of these places before components are looked at. Of a component the place with the smallest id stays (a null id is the largest), of several the one
     with the smallest ``tie``, then the first in the text.
     """
     # Copies are one unit. Units that repeat or have a partner are few, and only their places are moved on.
     several = found.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1")
     alone = F.xxhash64("h1", "h2").bitwiseOR(F.lit(-(1 << 63)))
     copies = several.join(near, ["h1", "h2"], "full").select("h1", "h2", F.coalesce("component", alone).alias("component"))
-    placed = checkpointed(found.join(checkpointed(copies), ["h1", "h2"]).drop("h1", "h2").distinct())
+    placed = found.join(checkpointed(copies), ["h1", "h2"]).drop("h1", "h2").distinct()
+    placed = checkpointed(wanted(placed))
     place = lambda: F.struct(F.col("id").isNull().alias("unnamed"), "id", "tie", at)
     first = placed.groupBy("component").agg(F.min(place()).alias("first"), F.count("*").alias("n")).filter("n > 1")
     marked = placed.join(first.drop("n"), "component").withColumn("kept", place().eqNullSafe(F.col("first")))

@@ -1,7 +1,7 @@
 """Substring dedup: passages that repeat across or within documents, found by MinHash banding of paragraphs.
 
-A paragraph is a sentence-bounded stretch of a line, so that a passage that was pasted into the middle of a line is
-found as well. Word shingles give its MinHash signature; paragraphs that collide in a band are compared by exact
+A paragraph is a sentence of a line, or a run of short ones, so that a passage that was pasted into the middle of a
+line is found as well. Word shingles give its MinHash signature; paragraphs that collide in a band are compared by exact
 Jaccard similarity, and similar ones form components, of which the first place in the corpus stays.
 """
 
@@ -14,7 +14,7 @@ from itertools import accumulate, chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup
@@ -26,6 +26,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Shorter paragraphs repeat by chance and are left alone.
 MIN_WORDS = 8
+#: So are repeated stretches, paragraphs with at most GAP characters between them, of fewer words than this.
+MIN_STRETCH = 20
+GAP = 80
 ROWS = 2
 RECALL = 0.99
 #: A paragraph ends with its line or at a sentence's end: a mark, closing quotes or brackets, then white space.
@@ -35,15 +38,27 @@ FIELDS = "id {id}, tie bigint, start bigint, stop bigint, h1 bigint, h2 int, wor
 
 
 def paragraphs(text: str | None) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Start, end and lower-case words of each paragraph with enough words."""
+    """Start, end and lower-case words of each paragraph with enough words.
+
+    A sentence with enough words is one, and so are the short ones between two of these or up to the line's end.
+    """
     text = text or ""
-    at = 0
+    at = start = 0
+    run: list[bytes] = []
     for cut in [*CUT.finditer(text), None]:
         end = cut.end() if cut else len(text)
-        if end - at >= 2 * MIN_WORDS - 1:
-            words = text[at:end].encode("utf-8", "surrogatepass").lower().split()
-            if len(words) >= MIN_WORDS:
-                yield at, end, words
+        words = text[at:end].encode("utf-8", "surrogatepass").lower().split()
+        if len(words) >= MIN_WORDS:
+            if len(run) >= MIN_WORDS:
+                yield start, at, run
+            yield at, end, words
+            run, start = [], end
+        else:
+            run += words
+            if cut is None or text[cut.start()] == "\n":
+                if len(run) >= MIN_WORDS:
+                    yield start, end, run
+                run, start = [], end
         at = end
 
 
@@ -154,9 +169,22 @@ def shingle_sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
     return lines.select("node", words.alias("w")).select("node", F.array_distinct(sets).alias("shingles"))
 
 
+def _long_stretches(placed: DataFrame) -> DataFrame:
+    """Places in stretches of enough words. A document's places are counted in their order."""
+    mine = Window.partitionBy("id", "tie")
+    before = F.max("stop").over(mine.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("start") - before <= GAP, 0).otherwise(1)
+    numbered = placed.withColumn("_begins", begins)
+    numbered = numbered.withColumn("_stretch", F.sum("_begins").over(mine.orderBy("start").rowsBetween(Window.unboundedPreceding, 0)))
+    long = F.sum("words").over(Window.partitionBy("id", "tie", "_stretch"))
+    return numbered.withColumn("_long", long).filter(F.col("_long") >= MIN_STRETCH).drop("_begins", "_stretch", "_long")
+
+
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Paragraphs with a copy or near copy elsewhere: their place, component, and whether they are the one that stays.
 
+    Repeated stretches of a text with fewer than ``MIN_STRETCH`` words, such as a common line alone, are left alone.
+
     One row per place: ``key``, ``start`` and ``end`` (characters of the text), ``words``, ``component`` and ``kept``.
     Of a component the place with the smallest key stays (a null key is the largest), of several the one of the smallest
     hash of its text, then the first in the text. Rows with equal key and text are one document here and keep the same
@@ -165,5 +193,5 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     bands = neardup.tuned(threshold, RECALL, ROWS)
     docs = docs.filter(F.col(text).isNotNull())
     near = neardup.linked(band_rows(docs, text, bands), lambda named: shingle_sets(docs, text, named), threshold)
-    marked = neardup.members(places(docs, key, text), near, key, "start")
+    marked = neardup.members(places(docs, key, text), near, key, "start", _long_stretches)
     return marked.select(key, "tie", "start", F.col("stop").alias("end"), "words", "component", "kept")
