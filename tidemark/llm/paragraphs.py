@@ -27,7 +27,7 @@ THRESHOLD = 0.8
 #: Shorter paragraphs repeat by chance and are left alone.
 MIN_WORDS = 8
 #: So are repeated stretches, paragraphs with at most GAP characters between them, of fewer words than this.
-MIN_STRETCH = 20
+MIN_STRETCH = 14
 GAP = 80
 ROWS = 2
 RECALL = 0.99
