@@ -1,10 +1,10 @@
 """From MinHash signatures to components: banding, verification, and no pairs within large groups.
 
 A unit is a distinct text (line or paragraph). Units that agree in a band of their signature share a bucket. Each is
-first compared with the smallest unit of its bucket only, and what is similar becomes a component. Then only pairs
-within a bucket that are still in different components are left; those of a bucket's units that are not in its main
-component are compared with the others. No link between two units of one bucket is lost that way, and a bucket of
-near copies, however large, gives one comparison per unit.
+first compared with the smallest unit of its bucket only, and what is similar becomes a component. What is left are
+buckets with units of several components. Among these units all similar pairs of different components are found by
+exact prefix filtering. No link between two units of one bucket is lost that way; a bucket of near copies, however
+large, gives one comparison per unit, and one of many variants that are not similar gives hardly any.
 """
 
 from __future__ import annotations
@@ -74,23 +74,38 @@ def linked(rows: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], thres
     once = components(near)
 
     placed = in_buckets.join(once, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = checkpointed(placed)
-    spread = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("head")
-    ).filter("low != high")
-    mixed = placed.join(spread.select("key", "head"), "key")
-    main = mixed.filter("node = head").select("key", F.col("component").alias("main"))
-    odd = mixed.join(main, "key").filter("component != main").select(
-        "key", F.col("node").alias("x"), F.col("size").alias("size_x"), F.col("component").alias("component_x")
-    )
-    rest = mixed.join(odd, "key").filter(
-        (F.col("component") != F.col("component_x")) & fits(F.col("size"), F.col("size_x"))
-    )
-    rest = rest.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-    rest = checkpointed(rest.join(star, ["a", "b"], "left_anti"))
+    spread = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    mixed = checkpointed(placed.join(spread.select("key"), "key").select("node", "component").distinct())
+    if mixed.isEmpty():
+        return in_components(once)
+    sets = checkpointed(shingles_of(named.join(mixed.select("node"), "node")))
+    rest = checkpointed(_by_prefix(sets.join(mixed, "node"), threshold).join(star, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return in_components(once)
-    return in_components(components(near.union(_similar(rest, of(rest), threshold))))
+    return in_components(components(near.union(_similar(rest, sets, threshold))))
+
+
+def _by_prefix(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of ``node`` in different components that may be similar, by prefix filtering.
+
+    Two sets of this Jaccard similarity share one of their rarest shingles: of n, those that are left when all but
+    threshold times n are taken away, and one more. Rarest comes first, so variants of one text, each with shingles of its
+    own, do not meet.
+    """
+    each = sets.select("node", "component", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("n"))
+    ranked = each.join(often, "shingle").groupBy("node", "component", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ranked")
+    )
+    length = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9).cast("int") + 1
+    first = ranked.select("node", "component", "size", F.explode(F.slice("ranked", F.lit(1), length)).alias("x"))
+    first = first.filter("x.n > 1").select("node", "component", "size", F.col("x.shingle").alias("shingle"))
+    other = first.toDF("b", "component_b", "size_b", "shingle")
+    pairs = first.join(other, "shingle").filter(
+        (F.col("node") < F.col("b")) & (F.col("component") != F.col("component_b"))
+        & (F.least("size", "size_b") >= threshold * F.greatest("size", "size_b"))
+    )
+    return pairs.select(F.col("node").alias("a"), "b").distinct()
 
 
 def members(

@@ -152,7 +152,7 @@ def band_rows(docs: DataFrame, text: str, bands: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
-    """``node`` and ``shingles`` of the paragraphs in ``named`` (``node``, ``h1``, ``h2``)."""
+    """``node`` and ``shingles``, hashes of 64 bits, of the paragraphs in ``named`` (``node``, ``h1``, ``h2``)."""
 
     def lined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -165,7 +165,7 @@ def shingle_sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
     lines = lines.join(named, ["h1", "h2"]).dropDuplicates(["node"])
     words = F.split(F.decode("line", "UTF-8"), " ")
     count = F.greatest(F.size("w") - SHINGLE + 1, F.lit(1))
-    sets = F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice("w", i, SHINGLE), " "))
+    sets = F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice("w", i, SHINGLE)))
     return lines.select("node", words.alias("w")).select("node", F.array_distinct(sets).alias("shingles"))
 
 
