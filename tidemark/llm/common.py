@@ -64,3 +64,16 @@ def stored(df: DataFrame) -> DataFrame:
     folder = session.shared_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+#: Rows of a few numbers that may be sent to all tasks: some 50 MB.
+SENT_ROWS = 1 << 20
+
+
+def looked_up(rows: DataFrame, names: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` that have a match in the narrow, written table ``names``, with its columns.
+
+    ``names`` is counted. Up to ``SENT_ROWS`` it is broadcast, and long texts in ``rows`` stay where they are; a larger one is
+    joined by a shuffle.
+    """
+    return rows.join(F.broadcast(names) if names.count() <= SENT_ROWS else names, on)

@@ -61,16 +61,15 @@ def linked(rows: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], thres
     """
     in_buckets, named = buckets(rows)
     fits = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y)
-    of = lambda pairs: shingles_of(
-        named.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node")
-    )
+    of = lambda nodes: shingles_of(checkpointed(named.join(nodes.distinct(), "node")))
+    ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     in_components = lambda found: named.join(found, "node").select("h1", "h2", "component")
     first = in_buckets.groupBy("key").agg(F.min("node").alias("a"))
     # The representative's size comes with it from the bucket itself.
     heads = in_buckets.join(first, "key").filter("node = a").select("key", "a", F.col("size").alias("size_a"))
     star = in_buckets.join(heads, "key").filter((F.col("node") != F.col("a")) & fits(F.col("size"), F.col("size_a")))
     star = checkpointed(star.select("a", F.col("node").alias("b")).distinct())
-    near = checkpointed(_similar(star, of(star), threshold))
+    near = checkpointed(_similar(star, of(ends(star)), threshold))
     once = components(near)
 
     placed = in_buckets.join(once, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -78,7 +77,7 @@ def linked(rows: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], thres
     mixed = checkpointed(placed.join(spread.select("key"), "key").select("node", "component").distinct())
     if mixed.isEmpty():
         return in_components(once)
-    sets = checkpointed(shingles_of(named.join(mixed.select("node"), "node")))
+    sets = checkpointed(of(mixed.select("node")))
     rest = checkpointed(_by_prefix(sets.join(mixed, "node"), threshold).join(star, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return in_components(once)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup
-from tidemark.llm.common import shipped, slices
+from tidemark.llm.common import looked_up, shipped, slices
 
 shipped(__name__)
 
@@ -162,7 +162,7 @@ def shingle_sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*_named(lines), each], names=["h1", "h2", "line"])
 
     lines = docs.select(text).mapInArrow(lined, "h1 bigint, h2 int, line binary")
-    lines = lines.join(named, ["h1", "h2"]).dropDuplicates(["node"])
+    lines = looked_up(lines, named, ["h1", "h2"]).dropDuplicates(["node"])
     words = F.split(F.decode("line", "UTF-8"), " ")
     count = F.greatest(F.size("w") - SHINGLE + 1, F.lit(1))
     sets = F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice("w", i, SHINGLE)))
