@@ -77,28 +77,31 @@ def linked(rows: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], thres
     mixed = checkpointed(placed.join(spread.select("key"), "key").select("node", "component").distinct())
     if mixed.isEmpty():
         return in_components(once)
-    sets = checkpointed(of(mixed.select("node")))
-    rest = checkpointed(_by_prefix(sets.join(mixed, "node"), threshold).join(star, ["a", "b"], "left_anti"))
+    rest = _by_prefix(of(mixed.select("node")), mixed, threshold)
+    rest = checkpointed(rest.join(star, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return in_components(once)
-    return in_components(components(near.union(_similar(rest, sets, threshold))))
+    return in_components(components(near.union(_similar(rest, of(ends(rest)), threshold))))
 
 
-def _by_prefix(sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of ``node`` in different components that may be similar, by prefix filtering.
+def _by_prefix(sets: DataFrame, placed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of ``node`` in different components of ``placed`` that may be similar, by prefix filtering.
 
     Two sets of this Jaccard similarity share one of their rarest shingles: of n, those that are left when all but
     threshold times n are taken away, and one more. Rarest comes first, so variants of one text, each with shingles of its
-    own, do not meet.
+    own, do not meet. Shingles that one set alone has take places in front, and only their number is kept.
     """
-    each = sets.select("node", "component", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
-    often = each.groupBy("shingle").agg(F.count("*").alias("n"))
-    ranked = each.join(often, "shingle").groupBy("node", "component", "size").agg(
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    shared = each.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    ranked = each.join(shared, "shingle").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ranked")
     )
-    length = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9).cast("int") + 1
-    first = ranked.select("node", "component", "size", F.explode(F.slice("ranked", F.lit(1), length)).alias("x"))
-    first = first.filter("x.n > 1").select("node", "component", "size", F.col("x.shingle").alias("shingle"))
+    sized = sets.select("node", F.size("shingles").alias("size")).join(placed.select("node", "component"), "node")
+    size = F.col("size")
+    left = size - F.ceil(size * threshold - 1e-9).cast("int") + 1 - (size - F.size("ranked"))
+    first = ranked.join(sized, "node").withColumn("left", left).filter("left > 0")
+    first = first.select("node", "component", "size", F.explode(F.slice("ranked", F.lit(1), F.col("left"))).alias("x"))
+    first = first.select("node", "component", "size", F.col("x.shingle").alias("shingle"))
     other = first.toDF("b", "component_b", "size_b", "shingle")
     pairs = first.join(other, "shingle").filter(
         (F.col("node") < F.col("b")) & (F.col("component") != F.col("component_b"))
