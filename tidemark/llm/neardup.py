@@ -2,21 +2,25 @@
 
 A unit is a distinct text (line or paragraph). Units that agree in a band of their signature share a bucket. Each is
 first compared with the smallest unit of its bucket only, and what is similar becomes a component. What is left are
-buckets with units of several components. Among these units all similar pairs of different components are found by
-exact prefix filtering. No link between two units of one bucket is lost that way; a bucket of near copies, however
-large, gives one comparison per unit, and one of many variants that are not similar gives hardly any.
+buckets with units of several components. In such a bucket of few units, as nearly all are, each is compared with every
+one of another component. Among the units of larger ones all similar pairs of different components are found by exact
+prefix filtering. No link between two units of one bucket is lost that way; a bucket of near copies, however large,
+gives one comparison per unit, and one of many variants that are not similar gives hardly any.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import checkpointed, looked_up
 from tidemark.llm.components import components
 
+#: Units of a bucket with at most so many are compared one with another, so a unit has fewer pairs than this in a bucket.
+FEW_UNITS = 16
+
 
 def recall(similarity: float, bands: int, rows: int) -> float:
     """Chance that two units of this similarity share a bucket."""
@@ -31,37 +35,51 @@ def tuned(threshold: float, least_recall: float, rows: int) -> int:
     return bands
 
 
-def buckets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def buckets(rows: DataFrame, once: bool = False) -> tuple[DataFrame, DataFrame]:
     """Buckets with two or more units: ``key``, ``node``, ``size``; and ``node``, ``h1``, ``h2`` of these units.
 
     ``rows`` has ``key``, ``h1``, ``h2`` and ``size`` of each unit and band; ``h1`` and ``h2`` name a unit, whose rows may
-    repeat. Lone units, most of all, end in the aggregate.
+    repeat. ``once`` says that hardly any do, so that only their number is shuffled. Lone units, most of all, end in the
+    aggregate.
     """
-    shared = rows.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low != high")
-    members = checkpointed(rows.join(shared.select("key"), "key").distinct())
+    if once:
+        shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    else:
+        shared = rows.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low != high")
+    members = checkpointed(looked_up(rows, checkpointed(shared.select("key")), ["key"]).distinct())
     named = members.select("h1", "h2").distinct().withColumn("node", F.monotonically_increasing_id())
     named = checkpointed(named.select("node", "h1", "h2"))
     return checkpointed(members.join(named, ["h1", "h2"]).select("key", "node", "size")), named
 
 
-def _similar(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose shingle sets have at least this Jaccard similarity; ``shingled`` has ``node`` and ``shingles``."""
-    a = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    b = shingled.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    near = pairs.join(a, "a").join(b, "b").withColumn("both", both)
-    return near.filter(F.col("both") >= threshold * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
-
+def _similar(pairs: DataFrame, units: DataFrame, shingles: Callable[[str], Column], threshold: float) -> DataFrame:
+    """The pairs whose shingle sets have at least this Jaccard similarity; ``units`` has ``node`` and ``unit``.
 
-def linked(rows: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+    The units are moved to the pairs, not their sets, which are many times as large.
+    """
+    a = units.select(F.col("node").alias("a"), F.col("unit").alias("ua"))
+    b = units.select(F.col("node").alias("b"), F.col("unit").alias("ub"))
+    # As arrays of one, so that each set and what they share is made once.
+    sets = F.array(F.struct(shingles("ua").alias("a"), shingles("ub").alias("b")))
+    counts = F.transform(sets, lambda s: F.struct(F.size(F.array_intersect(s["a"], s["b"])).alias("both"), (F.size(s["a"]) + F.size(s["b"])).alias("all")))
+    near = F.exists(counts, lambda n: n["both"] >= threshold * (n["all"] - n["both"]))
+    return pairs.join(a, "a").join(b, "b").filter(near).select("a", "b")
+
+
+def linked(
+    rows: DataFrame, units_of: Callable[[DataFrame], DataFrame], shingles: Callable[[str], Column], threshold: float,
+    once: bool = False,
+) -> DataFrame:
     """``h1``, ``h2`` and ``component`` of every unit similar to another one of its buckets, chains included.
 
-    ``rows`` is as in :func:`buckets`, ``size`` that of the unit's shingle set; ``shingles_of`` turns a table of ``node``,
-    ``h1`` and ``h2`` into ``node`` and ``shingles``, a set. Pairs whose sizes rule out the threshold are not compared.
+    ``rows`` and ``once`` are as in :func:`buckets`, ``size`` that of the unit's shingle set; ``units_of`` turns a table of
+    ``node``, ``h1`` and ``h2`` into ``node`` and ``unit``, whose set is ``shingles`` of the column. Pairs whose sizes rule
+    out the threshold are not compared.
     """
-    in_buckets, named = buckets(rows)
+    in_buckets, named = buckets(rows, once)
     fits = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y)
-    of = lambda nodes: shingles_of(checkpointed(named.join(nodes.distinct(), "node")))
+    of = lambda nodes: checkpointed(units_of(checkpointed(named.join(nodes.distinct(), "node"))))
+    similar = lambda pairs: checkpointed(_similar(pairs, of(ends(pairs)), shingles, threshold))
     ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     in_components = lambda found: named.join(found, "node").select("h1", "h2", "component")
     first = in_buckets.groupBy("key").agg(F.min("node").alias("a"))
@@ -69,19 +87,37 @@ def linked(rows: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], thres
     heads = in_buckets.join(first, "key").filter("node = a").select("key", "a", F.col("size").alias("size_a"))
     star = in_buckets.join(heads, "key").filter((F.col("node") != F.col("a")) & fits(F.col("size"), F.col("size_a")))
     star = checkpointed(star.select("a", F.col("node").alias("b")).distinct())
-    near = checkpointed(_similar(star, of(ends(star)), threshold))
-    once = components(near)
-
-    placed = in_buckets.join(once, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    mixed = checkpointed(placed.join(spread.select("key"), "key").select("node", "component").distinct())
+    near = similar(star)
+    found = components(near)
+
+    placed = in_buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spread = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("units")
+    ).filter("low != high")
+    mixed = checkpointed(placed.join(spread.select("key", "units"), "key").select("key", "units", "node", "component", "size"))
     if mixed.isEmpty():
-        return in_components(once)
-    rest = _by_prefix(of(mixed.select("node")), mixed, threshold)
+        return in_components(found)
+    rest = _all_pairs(mixed.filter(F.col("units") <= FEW_UNITS), fits)
+    crowded = checkpointed(mixed.filter(F.col("units") > FEW_UNITS).select("node", "component").distinct())
+    if not crowded.isEmpty():
+        sets = of(crowded.select("node")).select("node", shingles("unit").alias("shingles"))
+        rest = rest.union(_by_prefix(sets, crowded, threshold)).distinct()
     rest = checkpointed(rest.join(star, ["a", "b"], "left_anti"))
     if rest.isEmpty():
-        return in_components(once)
-    return in_components(components(near.union(_similar(rest, of(ends(rest)), threshold))))
+        return in_components(found)
+    return in_components(components(near.union(similar(rest))))
+
+
+def _all_pairs(few: DataFrame, fits: Callable[[Column, Column], Column]) -> DataFrame:
+    """Pairs of ``node`` in different components of one bucket, for buckets of few units."""
+    unit = F.struct("node", "component", "size")
+    lists = few.groupBy("key").agg(F.collect_list(unit).alias("units"))
+    firsts = lists.select("units", F.explode("units").alias("x"))
+    others = F.filter(
+        "units",
+        lambda y: (F.col("x.node") < y["node"]) & (F.col("x.component") != y["component"]) & fits(F.col("x.size"), y["size"]),
+    )
+    return firsts.select(F.col("x.node").alias("a"), F.explode(others).alias("y")).select("a", F.col("y.node").alias("b")).distinct()
 
 
 def _by_prefix(sets: DataFrame, placed: DataFrame, threshold: float) -> DataFrame:

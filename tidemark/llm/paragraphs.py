@@ -14,7 +14,7 @@ from itertools import accumulate, chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup
@@ -151,22 +151,26 @@ def band_rows(docs: DataFrame, text: str, bands: int) -> DataFrame:
     return rows.select("h1", "h2", "size", F.explode("keys").alias("key"))
 
 
-def shingle_sets(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
-    """``node`` and ``shingles``, hashes of 64 bits, of the paragraphs in ``named`` (``node``, ``h1``, ``h2``)."""
+def lines_of(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
+    """``node`` and the joined words ``unit`` of the paragraphs in ``named`` (``node``, ``h1``, ``h2``)."""
 
     def lined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             lines = _distinct_lines(batch.column(0).to_pylist())
             if lines:
                 each = pa.array([line for line, _ in lines.values()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*_named(lines), each], names=["h1", "h2", "line"])
+                yield pa.RecordBatch.from_arrays([*_named(lines), each], names=["h1", "h2", "unit"])
 
-    lines = docs.select(text).mapInArrow(lined, "h1 bigint, h2 int, line binary")
-    lines = looked_up(lines, named, ["h1", "h2"]).dropDuplicates(["node"])
-    words = F.split(F.decode("line", "UTF-8"), " ")
-    count = F.greatest(F.size("w") - SHINGLE + 1, F.lit(1))
-    sets = F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice("w", i, SHINGLE)))
-    return lines.select("node", words.alias("w")).select("node", F.array_distinct(sets).alias("shingles"))
+    lines = docs.select(text).mapInArrow(lined, "h1 bigint, h2 int, unit binary")
+    return looked_up(lines, named, ["h1", "h2"]).select("node", "unit").dropDuplicates(["node"])
+
+
+def shingles(unit: str) -> Column:
+    """The set of hashes of 64 bits of all word shingles."""
+    starts = lambda words: F.sequence(F.lit(1), F.greatest(F.size(words) - SHINGLE + 1, F.lit(1)))
+    sets = lambda words: F.transform(starts(words), lambda i: F.xxhash64(F.slice(words, i, F.lit(SHINGLE))))
+    # As an array of one, so that the words are split once.
+    return F.array_distinct(F.transform(F.array(F.split(F.decode(unit, "UTF-8"), " ")), sets)[0])
 
 
 def _long_stretches(placed: DataFrame) -> DataFrame:
@@ -192,6 +196,6 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     """
     bands = neardup.tuned(threshold, RECALL, ROWS)
     docs = docs.filter(F.col(text).isNotNull())
-    near = neardup.linked(band_rows(docs, text, bands), lambda named: shingle_sets(docs, text, named), threshold)
+    near = neardup.linked(band_rows(docs, text, bands), lambda named: lines_of(docs, text, named), shingles, threshold)
     marked = neardup.members(places(docs, key, text), near, key, "start", _long_stretches)
     return marked.select(key, "tie", "start", F.col("stop").alias("end"), "words", "component", "kept")
