@@ -79,6 +79,26 @@ def test_features(spark, before, after, feature):
     assert row[feature] == 1 and row.n_chars == len(row.candidate) and row.digit_share > 0.3
 
 
+def test_sham_words_are_whole_and_at_the_value(spark):
+    real = ['the latest contest: token = "%s"', 'me@example.com token = "%s" a protest', 'test it with token = "%s" for example']
+    sham = ['token = "your-api-key-%s"', 'token = "test_%s"', "an example %s"]
+    docs = spark.createDataFrame([(i, t % key(i)) for i, t in enumerate(real + sham)], SCHEMA)
+    rows = secrets.described(secrets.findings(docs), secrets.dictionary(docs))
+    got = {r.id: (r.sham_word, r.sure) for r in rows.select("id", "sham_word", secrets.sure_secret().alias("sure")).collect()}
+    assert got == {i: (0.0, True) if i < 3 else (1.0, False) for i in range(6)}
+
+
+def test_assigned_values_of_any_length_and_letters(spark):
+    cases = {
+        "password=hunter2": "hunter2", 'secret = "correct horse; battery"': "correct horse; battery", "pwd: 'p@$$w0rd!'": "p@$$w0rd!",
+        "PASSWORD=abcdefgh": "abcdefgh", "db_passwd=x": "x", "?token=a.b!c&user=1": "a.b!c", "api_key: `Zürich#1`": "Zürich#1",
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), SCHEMA)
+    rows = secrets.described(secrets.findings(docs), secrets.dictionary(docs)).select("id", "start", "candidate", secrets.sure_secret().alias("sure"))
+    got = {r.id: (r.start, r.candidate, r.sure) for r in rows.collect()}
+    assert got == {i: (text.index(value), value, True) for i, (text, value) in enumerate(cases.items())}
+
+
 def test_query(spark):
     got = queries.QUERIES["op6_secret_findings"](spark, DATA)
     assert got.columns == ["doc_id", "start", "end", "probability", "is_secret", "labelled"]

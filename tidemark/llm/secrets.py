@@ -16,11 +16,21 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpointed
 
-#: A candidate: a run of key characters of some length with a digit in it, perhaps with base64 padding.
-CANDIDATE = r"(?<![\p{L}\p{N}+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}(?![\p{L}\p{N}])"
 BEFORE, AFTER = 60, 20
 KEY_WORDS = "pass(word|wd|phrase)?|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|auth|bearer"
-SHAM_WORDS = "example|sample|dummy|placeholder|changeme|redacted|fake|test|your[ _-]"
+#: Behind a key word and ``=`` or ``:``, white space on the line and an opening quote: what is assigned. The length in
+#: front is bounded, as look-behinds must be.
+ASSIGNED = rf"(?i:{KEY_WORDS})[\w-]{{0,20}}[\"']?[ \t]{{0,4}}[=:][ \t]{{0,4}}"
+#: A candidate: a run of key characters of some length with a digit in it, perhaps with base64 padding; or whatever is
+#: assigned to a key word: up to the closing quote, or to white space, a comma, semicolon or bracket if there is none.
+#: The short look-behinds in front spare the long ones at nearly every character.
+CANDIDATE = (
+    rf"(?<=\")(?<={ASSIGNED}\")[^\"\n]+(?=\")|(?<=')(?<={ASSIGNED}')[^'\n]+(?=')|(?<=`)(?<={ASSIGNED}`)[^`\n]+(?=`)"
+    rf"|(?<=[=:][ \t]{{0,4}})(?<={ASSIGNED})[^\s\"'`,;()\[\]{{}}<>=:](?:(?!&\w+=)[^\s\"'`,;()\[\]{{}}<>])*"
+    r"|(?<![\p{L}\p{N}+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}(?![\p{L}\p{N}])"
+)
+#: Whole words, in the value or right before it.
+SHAM_WORDS = r"(?<![a-z0-9])(examples?|sample|dummy|placeholder|changeme|redacted|fake|test|your)(?![a-z])"
 #: A word of the corpus is in the dictionary if it is there so often.
 DICTIONARY_TIMES = 5
 #: The forest is fitted on at most so many labelled findings, those with the smallest hash.
@@ -78,7 +88,7 @@ def pair_logs(words: DataFrame) -> DataFrame:
 def _described(candidates: DataFrame, words: DataFrame) -> DataFrame:
     """Pair logs and dictionary coverage of each distinct candidate."""
     low = candidates.withColumn("low", F.lower("candidate"))
-    pairs = low.select("candidate", F.explode(F.transform(F.sequence(F.lit(1), F.length("low") - 1), lambda i: F.substring("low", i, F.lit(2)))).alias("pair"))
+    pairs = low.select("candidate", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("low") - 1, F.lit(1))), lambda i: F.substring("low", i, F.lit(2)))).alias("pair"))
     # At most 676 rows.
     logs = pairs.join(F.broadcast(pair_logs(words)), "pair", "left").groupBy("candidate").agg(F.avg(F.coalesce("log", F.lit(-4.0))).alias("pair_log"))
     runs = low.select("candidate", F.explode(F.regexp_extract_all("low", F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
@@ -108,7 +118,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         "slashes": F.length(F.regexp_replace("candidate", "[^/]", "")).cast("double"),
         "dashes": F.length(F.regexp_replace("candidate", "[^_-]", "")).cast("double"),
         "key_word": yes(low.rlike(rf"({KEY_WORDS})\W*(\w+\W+){{0,2}}$")),
-        "sham_word": yes(F.concat(low, F.lower("after")).rlike(SHAM_WORDS)),
+        "sham_word": yes(F.lower("candidate").rlike(SHAM_WORDS) | F.lower("before").rlike(rf"{SHAM_WORDS}\W{{0,4}}$")),
         "assigned": yes(F.col("before").rlike(r"[=:]\s*[\"'`]?$")),
         "quoted": yes(F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]")),
         "words_before": F.size(F.regexp_extract_all("before", F.lit(r"\p{L}+"), F.lit(0))).cast("double"),
@@ -145,9 +155,14 @@ def judged(rows: DataFrame, secret: Column, other: Column, most_labelled: int =
 
 
 def sure_secret() -> Column:
-    """Findings that are secrets for certain: a provider's format, or the value given to a key word."""
+    """Findings that are secrets for certain: a provider's format, or the value given to a key word.
+
+    A mere word behind a colon, without quotes, may as well go on a sentence.
+    """
     key = rf"(?i)({KEY_WORDS})[\w-]*[\"']?\s*[=:]\s*[\"'`]?$"
-    return (F.col("candidate").rlike("^AKIA[0-9A-Z]{16}$") | F.col("before").rlike(key)) & (F.col("sham_word") == 0)
+    prose = F.col("before").rlike(r":\s*$") & F.col("candidate").rlike(r"^\p{L}+[.!?]*$")
+    given = F.col("before").rlike(key) & ~prose
+    return (F.col("candidate").rlike("^AKIA[0-9A-Z]{16}$") | given) & (F.col("sham_word") == 0)
 
 
 def sure_other() -> Column:
