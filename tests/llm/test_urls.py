@@ -81,6 +81,17 @@ def test_mined_rules_equal_counting_every_combination(spark):
             assert r.confidence == max(sure[i] for i in fits)
 
 
+def test_a_bad_host_stays_a_rule_as_data_grow_and_a_doubtful_one_is_none(spark):
+    few = [(f"http://bad.org/{'ab'[i % 2]}/x{i}", True) for i in range(6)]
+    few += [(f"http://half.net/{'ab'[i % 2]}/y{i}", i < 4) for i in range(6)]
+    for n in (100, 8000):
+        good = [(f"https://good.z{i % 7}.com/s/{i}", False) for i in range(n)]
+        df = spark.createDataFrame(few + good, "url string, bad boolean")
+        rules = urls.mined(df, certain=urls.CERTAIN).collect()
+        assert any(set(r["items"]) & {"d:bad.org", "h:bad"} for r in rules), n
+        assert not any(set(r["items"]) & {"d:half.net", "h:half"} for r in rules), n
+
+
 def test_no_labels_give_no_rules(spark):
     assert urls.mined(spark.createDataFrame([("http://a.org/", False)], "url string, bad boolean")).count() == 0
     pages = spark.createDataFrame([], "page_id int, url string")

@@ -43,7 +43,7 @@ def op1_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").groupBy("doc_id").agg((F.max("toxic") == 1).alias("bad"))
     numbered = pages.withColumn("n", number).selectExpr("url", "try_cast(n AS bigint) AS doc_id")
     labelled = numbered.join(labels, "doc_id").select("url", "bad")
-    judged = urls.judged(pages, urls.mined(labelled), URL_RULES)
+    judged = urls.judged(pages, urls.mined(labelled, certain=urls.CERTAIN), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "mined_rule", "confidence")
 
 

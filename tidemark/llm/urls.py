@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import checkpointed, lower_ascii
 
 BAD = "=bad"
-#: Support is a share of the labelled URLs, but at least so many URLs.
-MIN_SUPPORT = 0.001
+#: A rule has at least so many URLs, the same at every size. A share of all would lose bad hosts as data grow.
+MIN_SUPPORT = 0.0
 MIN_URLS = 5
 #: A rule blocks if this share of its URLs is bad, and this many times the share among all.
-MIN_CONFIDENCE = 0.2
+MIN_CONFIDENCE = 0.5
 MIN_LIFT = 2.0
+#: The share is the lower end of Wilson's interval at so many standard deviations, so that few URLs need a higher one.
+CERTAIN = 1.645
 
 
 def host(url: Column) -> Column:
@@ -73,12 +75,13 @@ def tokens(url: Column) -> Column:
 
 def mined(
     labelled: DataFrame, url: str = "url", bad: str = "bad", min_support: float = MIN_SUPPORT, min_urls: int = MIN_URLS,
-    min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT,
+    min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, certain: float = 0.0,
 ) -> DataFrame:
     """Blocking rules from labelled URLs: ``items``, ``rule``, ``confidence``, ``lift`` and ``urls`` (how many fit).
 
     All labelled rows count, repeated ones as often as they are there. Rows without a URL or label are left out. No
-    labelled rows, or no bad ones, give no rules. Which rules come out does not depend on how the rows are dealt.
+    labelled rows, or no bad ones, give no rules. Confidence is the plain share; ``certain`` above 0 also asks its lower
+    bound to reach ``min_confidence``. Which rules come out does not depend on how the rows are dealt.
     """
     known = labelled.filter(F.col(url).contains("://") & F.col(bad).isNotNull())
     baskets = known.select(
@@ -89,9 +92,9 @@ def mined(
     spark = labelled.sparkSession
     if not wrong:
         return spark.createDataFrame([], "items array<string>, rule string, confidence double, lift double, urls bigint")
-    least = max(min_support, min_urls / rows)
+    least = max(min_support * rows, min_urls)
     # A combination that is frequent enough among the bad ones; how many others have it is counted afterwards.
-    model = FPGrowth(minSupport=min(1.0, least * min_confidence), minConfidence=1e-9).fit(baskets)
+    model = FPGrowth(minSupport=min(1.0, least * min_confidence / rows), minConfidence=1e-9).fit(baskets)
     found = model.freqItemsets
     with_bad = found.filter(F.array_contains("items", BAD) & (F.size("items") > 1)).select(
         F.array_sort(F.array_remove("items", BAD)).alias("items"), F.col("freq").alias("bad_urls")
@@ -100,7 +103,8 @@ def mined(
     sure = F.col("bad_urls") / F.col("urls")
     rules = with_bad.join(urls, "items").withColumn("confidence", sure).withColumn("lift", sure * rows / wrong)
     rules = rules.filter(
-        (F.col("urls") >= least * rows) & (F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift)
+        (F.col("urls") >= least) & (F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift)
+        & ((lower_bound(sure, F.col("urls"), certain) >= min_confidence) if certain else F.lit(True))
     )
     rules = checkpointed(
         rules.select("items", F.array_join("items", " ").alias("rule"), "confidence", "lift", "urls")
@@ -108,6 +112,13 @@ def mined(
     return checkpointed(_without_implied(rules))
 
 
+def lower_bound(share: Column, n: Column, deviations: float) -> Column:
+    """The lower end of Wilson's interval for a share of ``n``."""
+    z = deviations * deviations
+    spread = deviations * F.sqrt(share * (1 - share) / n + z / (4 * n * n))
+    return (share + z / (2 * n) - spread) / (1 + z / n)
+
+
 def _without_implied(rules: DataFrame) -> DataFrame:
     """The rules that no rule with fewer tokens, all of them among theirs, matches in confidence.
 
