@@ -314,13 +314,13 @@ def line_columns(df):
 
 
 def narrow_changes(v: Views):
-    orders = v.order_changes("id", "create_time", "total_amount", "user_id")
-    return projections.order_change(orders), projections.order_detail_change(v.detail_changes("order_id", "sku_id"))
+    orders = cdc.live(v.order_changes("id", "create_time", "total_amount", "user_id"))
+    return projections.order_change(orders), projections.order_detail_change(cdc.live(v.detail_changes("order_id", "sku_id")))
 
 
 def order_lines(v: Views):
-    orders = projections.with_id(projections.order(v.order_changes()))
-    details = projections.with_id(projections.order_detail(v.detail_changes()), "order_id")
+    orders = projections.with_id(projections.order(cdc.live(v.order_changes())))
+    details = projections.with_id(projections.order_detail(cdc.live(v.detail_changes())), "order_id")
     return feed_joins.orders_with_details(orders, details)
 
 

@@ -157,7 +157,7 @@ VIEWS["lines"] = f"""
     SELECT o.*, d.detail_id, d.order_id, d.sku_id, d.sku_num, d.sku_name, d.order_price, d.split_coupon_amount,
            d.split_activity_amount, d.split_total_amount
     FROM order_info o JOIN detail_raw d ON o.id = d.order_id
-     AND d.ts_ms BETWEEN o.ts_ms - {2 * HOUR} AND o.ts_ms + {2 * HOUR}"""
+     AND d.ts_ms BETWEEN o.ts_ms - {2 * HOUR} AND o.ts_ms + {2 * HOUR} WHERE o.op <> 'd' AND d.op <> 'd'"""
 DEPENDS["lines"] = ["order_raw", "order_info", "detail_raw"]
 
 VIEWS["fresh"] = """
@@ -211,7 +211,7 @@ VIEWS["sku_names"] = f"""
 VIEWS["order_sku"] = f"""
     SELECT o.op, o.id AS order_id, o.create_time, o.total_amount, o.uid, o.ts_ms, d.sku_id::VARCHAR AS sku_id
     FROM order_raw o JOIN detail_raw d ON o.id = d.order_id
-     AND d.ts_ms BETWEEN o.ts_ms - {30 * DAY} AND o.ts_ms + {30 * DAY}"""
+     AND d.ts_ms BETWEEN o.ts_ms - {30 * DAY} AND o.ts_ms + {30 * DAY} WHERE o.op <> 'd' AND d.op <> 'd'"""
 DEPENDS["order_sku"] = ["order_raw", "detail_raw"]
 
 ORDER_PRICE = tiers("price", "total_amount::DOUBLE", "{v} >= 0 AND {v} <= 1000", "{v} > 1000 AND {v} <= 4000")

@@ -40,9 +40,9 @@ def run(rows: DataFrame, idle: bool = True) -> DataFrame:
 @query("SELECT id, uid, ts_ms, detail_id, sku_id FROM lines", "lines")
 def stream_interval_join(v: Views):
     s = streams(v)
-    orders = with_event_time(projections.order(s.order_changes()).select("id", "uid", "ts_ms"), "ts_ms")
+    orders = with_event_time(projections.order(cdc.live(s.order_changes())).select("id", "uid", "ts_ms"), "ts_ms")
     details = with_event_time(
-        projections.order_detail(s.detail_changes()).select(
+        projections.order_detail(cdc.live(s.detail_changes())).select(
             F.col("order_id"), F.col("id").alias("detail_id"), "sku_id", F.col("ts_ms").alias("detail_ts")
         ), "detail_ts",
     ).drop("detail_ts").withColumnRenamed("order_id", "id")
@@ -53,8 +53,8 @@ def stream_interval_join(v: Views):
 def stream_monotone_dedup_ttl(v: Views):
     s = streams(v)
     lines = flows.order_lines(
-        projections.with_id(projections.order(s.order_changes())),
-        projections.with_id(projections.order_detail(s.detail_changes()), "order_id"),
+        projections.with_id(projections.order(cdc.live(s.order_changes()))),
+        projections.with_id(projections.order_detail(cdc.live(s.detail_changes())), "order_id"),
     )
     return run(lines.select("detail_id", "ts_ms", "uid", "order_id"), idle=False)
 

@@ -6,9 +6,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
+from catalog import registry
 
 WRITES = {
-    name for name in entry.queries()
+    name for name in registry.QUERIES
     if name.startswith("stream_") or name in {
         "text_label_sink_round_trip", "json_lines_round_trip", "partitioned_layout_prune", "topic_routing_partitioned",
         "staged_final_label",
@@ -21,7 +22,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - WRITES))
 def test_no_cross_join_and_no_python_in_the_plan(spark, name):
     text = plan(entry.queries()[name](spark, DATA))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
