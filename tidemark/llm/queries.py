@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, lines, paragraphs, preferences, quality, secrets, simhash, suffix_tree, urls
+from tidemark.llm import (
+    bpe, decontaminate, lines, paragraphs, pieces, preferences, quality, ranked, secrets, simhash, suffix_tree, urls, whitening,
+)
 from tidemark.llm.sql import CHECKS as CHECKS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +105,24 @@ def op9_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_secret_findings(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scanned(table(spark, folder, "documents"))
+
+
+@query
+def op11_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.tokenized(docs).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_sketch_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings").select("vec_id", "embedding")).drop("embedding")

@@ -3,3 +3,29 @@
 from __future__ import annotations
 
 CHECKS: dict[str, str] = {}
+
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def terms(table: str, key: str) -> str:
+    """Rows of ``table`` with their terms in order."""
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, regexp_extract_all({low}, '{TERMS}') AS terms FROM {table} WHERE text IS NOT NULL"
+
+
+CHECKS["op12_sketch_search"] = f"""
+    WITH docs AS ({terms('documents', 'doc_id')}), items AS ({terms('benchmark', 'item_id')}),
+    held AS (SELECT doc_id, terms, len(terms) AS n FROM docs WHERE len(terms) > 0),
+    whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM held),
+    counts AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM held) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+                FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), whole),
+    asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+    scores AS (SELECT a.item_id, c.doc_id,
+                      sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 12 * (75 + (25 * c.n * h.docs) // h.terms))))::BIGINT AS score
+               FROM asked a JOIN counts c ON a.term = c.term JOIN weights w ON a.term = w.term, whole h
+               GROUP BY a.item_id, c.doc_id)
+    SELECT item_id, rank, doc_id, score FROM (
+      SELECT item_id, doc_id, score,
+             (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank
+      FROM scores WHERE score > 0) WHERE rank <= 20"""
