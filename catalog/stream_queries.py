@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog import sql as S
-from catalog.batch_queries import AS_OF, flat_page, keywords
+from catalog.batch_queries import AS_OF, FINAL_LABEL, flat_page, keywords, order_feed
 from catalog.registry import query
 from catalog.views import START_MS, Views
 from tidemark import session
 from tidemark.functions import dates
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
-from tidemark.operators import cdc, dedup, projections, scoring
+from tidemark.operators import cdc, dedup, projections
+from tidemark.plans import jobs
 from tidemark.sinks import files, topics
 from tidemark.sources import dimensions, feeds
 from tidemark.streaming import flows, joins, runs, state, times
@@ -138,34 +138,81 @@ def schema_of(df: DataFrame) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in df.dtypes)
 
 
-LABEL_PAIR = f"""
-    SELECT p.uid, p.ts AS page_ts_ms, o.ts_ms AS order_ts_ms, {S.columns('device')}, {S.columns('pay_time')}, {S.columns('amount')}
-    FROM (SELECT *, {S.DEVICE} FROM (SELECT uid, ts, os AS judge_os FROM page_log)) p
-    JOIN (SELECT *, {S.PAY_TIME}, {S.AMOUNT} FROM order_info) o
-      ON p.uid = o.uid AND o.ts_ms BETWEEN p.ts - {DAY_MS} AND p.ts + {DAY_MS}"""
-STREAM_TOTALS = "[" + ", ".join(
-    f'0 + coalesce("device_{b}", 0) + "pay_time_{b}" + 0 + 0 + "amount_{b}"' for b in S.V.BUCKETS
-) + "]"
-STREAM_LEVEL = f"list_extract({S.NAMES}, list_position({STREAM_TOTALS}, list_max({STREAM_TOTALS})))"
+@query("""SELECT uid, ts, event_id, ch FROM (
+            SELECT uid, ts, event_id, ch, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS rn FROM page_log)
+          WHERE rn = 1""", "page_log")
+def stream_processing_window(v: Views):
+    """The last page of each user in a window of processing time, here one into which all pages come."""
+    pages = streams(v).page_logs().select(F.col("common.uid").alias("uid"), "ts", "event_id", F.col("common.ch").alias("ch"))
+    last = state.last_in_processing_window(pages, "uid", ("ts", "event_id"), PROCESSING_WINDOW_MS)
+    return runs.run_until_timers_end(last, session.shared_folder(v.spark)).drop(state.WINDOW_END)
 
 
-@query(f"""SELECT p.uid, page_ts_ms, order_ts_ms, {STREAM_LEVEL} AS "ageLevel", u.uname, u.age, u.zodiac_sign, u.ts_ms
-           FROM ({LABEL_PAIR}) p JOIN profile u
-             ON p.uid = u.uid AND u.ts_ms BETWEEN page_ts_ms - {24 * DAY_MS} AND page_ts_ms + {24 * DAY_MS}""",
-       "page_log", "order_info", "profile")
-def stream_chained_label(v: Views):
+#: Short, so that the query ends soon.
+PROCESSING_WINDOW_MS = 2000
+
+JOINED_TIME = "greatest(o.ts_ms, d.ts_ms)"
+
+
+@query(f"""SELECT * FROM (
+    WITH joined AS (SELECT o.uid, d.detail_id, {JOINED_TIME} AS t FROM order_raw o JOIN detail_raw d ON o.id = d.order_id
+        AND d.ts_ms BETWEEN o.ts_ms - {2 * HOUR_MS} AND o.ts_ms + {2 * HOUR_MS} WHERE o.op <> 'd'),
+    hours AS (SELECT uid, (t // {HOUR_MS} * {HOUR_MS})::BIGINT AS window_start, count(*) AS lines, max(t) AS last_ts, arg_max(detail_id, (t, detail_id)) AS last_line
+        FROM joined GROUP BY uid, window_start HAVING window_start + {HOUR_MS} <= (SELECT max(t) - 5000 FROM joined)),
+    days AS (SELECT uid, (last_ts // {DAY_MS} * {DAY_MS})::BIGINT AS day_start, count(*) AS hours, sum(lines)::BIGINT AS lines, max(last_line) AS last_line
+        FROM hours GROUP BY uid, day_start HAVING day_start + {DAY_MS} <= (SELECT max(last_ts) FROM hours))
+    SELECT * FROM days)""", "order_raw", "detail_raw")
+def stream_restamped_window(v: Views):
+    """Lines per user and hour, then per day: stamped anew after the join and after the first window."""
     s = streams(v)
-    pages = projections.page(s.page_logs()).select(
-        "uid", F.col("ts").alias("ts_ms"), F.col("deviceInfo.os").alias("os"),
-        F.lit(None).cast("string").alias("searchCategory"),
+    orders = with_event_time(projections.order(cdc.live(s.order_changes())).select("id", "uid", "ts_ms"), "ts_ms")
+    details = with_event_time(
+        projections.order_detail(cdc.live(s.detail_changes())).select(
+            F.col("order_id").alias("id"), F.col("id").alias("detail_id"), F.col("ts_ms").alias("detail_ts")
+        ), "detail_ts",
     )
-    orders = projections.order(s.order_changes()).withColumns(
-        {"tname": F.lit(None).cast("string"), "b1_name": F.lit(None).cast("string")}
+    joined = joins.interval_join(orders, details, "id", -2 * HOUR_MS, 2 * HOUR_MS).drop(EVENT_TIME)
+    lines = times.restamped(handed_over(joined), "ts_ms", "detail_ts", lateness=times.LATENESS_AFTER_JOIN)
+    line_time = F.greatest("ts_ms", "detail_ts")
+    hours = lines.groupBy(F.window(EVENT_TIME, "1 hour"), "uid").agg(
+        F.count("*").alias("lines"), F.max(line_time).alias("last_ts"),
+        F.max_by("detail_id", F.struct(line_time.alias("t"), "detail_id")).alias("last_line"),
+    ).select("uid", "lines", "last_ts", "last_line")
+    stamped = times.restamped(handed_over(hours), "last_ts", lateness=times.LATENESS_AFTER_WINDOW)
+    days = stamped.groupBy(F.window(EVENT_TIME, "1 day"), "uid").agg(
+        F.count("*").alias("hours"), F.sum("lines").alias("lines"), F.max("last_line").alias("last_line")
     )
-    users = projections.user(s.user_changes(), AS_OF).select("uid", "uname", "age", "zodiac_sign", "ts_ms")
-    return run(
-        flows.labels(scoring.add_page_scores(pages), scoring.add_order_scores(orders), users, DAY_MS, 24 * DAY_MS)
+    return run(days.select("uid", F.unix_millis("window.start").alias("day_start"), "hours", "lines", "last_line"))
+
+
+def handed_over(rows: DataFrame) -> DataFrame:
+    """Rows of a stream written to a feed of their own and read from there as another stream."""
+    folder = session.shared_folder(rows.sparkSession)
+    runs.run_to_files(rows, folder)
+    return runs.read_files(rows.sparkSession, folder, rows.schema)
+
+
+@query(FINAL_LABEL, "base2", "base4", "base6")
+def stream_chained_label(v: Views):
+    """Three feeds handed over, then the last label of each user kept in state by a stream over them.
+
+    Of equal lines of one time a stream takes the one that comes first; so that one is sure, the batch flow writes base4.
+    """
+    s = streams(v)
+    stages = jobs.Stages(session.shared_folder(v.spark))
+    pages = projections.with_uid(projections.page(s.page_logs()))
+    base2 = flows.page_feed(with_closing_rows(pages), keywords(v), ttl_ms=None).filter(F.col("uid") != CLOSING)
+    base6 = flows.user_feed(
+        projections.with_uid(projections.user(s.user_changes(), AS_OF)),
+        projections.with_uid(projections.user_supplement(s.supplement_changes())),
     )
+    for name, rows in (("base2", base2), ("base6", base6)):
+        runs.run_to_files(rows, stages.folder(name))
+    order_feed(v).write.parquet(stages.rows("base4"))
+    jobs.start_labels(v.spark, stages, None).awaitTermination()
+    written = v.spark.read.parquet(stages.rows("labels"))
+    newest = dedup.latest(written, "uid", ["page_ts_ms", "order_ts_ms", "ts_ms"])
+    return newest.drop("page_ts_ms", "order_ts_ms")
 
 
 # --- File sinks ------------------------------------------------------------------------------------------

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark import session
 from tidemark.operators import joins
@@ -60,8 +62,34 @@ def files(rows: DataFrame, folder: str, format: str = "parquet") -> DataStreamWr
     )
 
 
+def read_files(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """What another query writes with :func:`files`, as a stream. A watermark can be set anew on it."""
+    return spark.readStream.schema(schema).parquet(f"{folder}/rows")
+
+
 def run_to_files(rows: DataFrame, folder: str, idle: bool = True) -> DataFrame:
     """Run a stream over everything there is now, and read back what it wrote."""
     spark = rows.sparkSession
     start(files(rows, folder), spark, trigger=None, idle=idle).awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
+def run_until_timers_end(rows: DataFrame, folder: str, poll: float = 0.2) -> DataFrame:
+    """Run a stream with processing-time timers over what is there now, until all of it is read and no state is left.
+
+    Such a stream never ends by itself, as Spark asks it for idle batches in which timers fire.
+    """
+    spark = rows.sparkSession
+    query = start(files(rows, folder), spark, trigger="0 seconds")
+    try:
+        while query.isActive:
+            # The first batch after a restart may be one that was broken off, so two in a row must be idle.
+            last = query.recentProgress[-2:]
+            if len(last) == 2 and not any(p["numInputRows"] or any(s["numRowsTotal"] for s in p["stateOperators"]) for p in last):
+                break
+            time.sleep(poll)
+        if query.exception() is not None:
+            raise query.exception()
+    finally:
+        query.stop()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
