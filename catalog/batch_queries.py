@@ -242,6 +242,26 @@ def order_running_sets(v: Views):
     )
 
 
+@query("""
+    SELECT id, user_id, ts_ms, len(list_distinct(array_agg(create_time) OVER w)) AS create_time_count,
+           len(list_distinct(array_agg(total_amount) OVER w)) AS total_amount_count,
+           len(list_distinct(coalesce(array_agg(item) FILTER (item IS NOT NULL) OVER w, []))) AS item_count,
+           row_number() OVER (PARTITION BY user_id, total_amount ORDER BY ts_ms, id) = 1 AS total_amount_new,
+           row_number() OVER (PARTITION BY user_id, create_time ORDER BY ts_ms, id) = 1 AS create_time_new,
+           item IS NOT NULL AND row_number() OVER (PARTITION BY user_id, item ORDER BY ts_ms, id) = 1 AS item_new
+    FROM (SELECT *, uid AS user_id, CASE WHEN k % 3 = 0 THEN consignee END AS item FROM order_raw)
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts_ms, id ROWS UNBOUNDED PRECEDING)""", "order_raw")
+def order_running_counts(v: Views):
+    """How many different values each user's orders have had, and which are new: linear in the rows."""
+    orders = v.order_changes("id", "user_id", "create_time", "total_amount", "consignee").select(
+        "after.user_id", "ts_ms", "after.id", "after.create_time", "after.total_amount",
+        F.when(F.col("after.id").cast("bigint") % 3 == 0, F.col("after.consignee")).alias("item"),
+    )
+    return running.with_distinct_counts(orders, "user_id", "ts_ms", ["id"], ["create_time", "total_amount", "item"]).drop(
+        "create_time", "total_amount", "item"
+    )
+
+
 # --- Page scores -----------------------------------------------------------------------------------------
 
 
@@ -579,6 +599,28 @@ def user_sum_with_page_scores_12h(v: Views):
     )
 
 
+def summed(prefix: str) -> str:
+    return ", ".join(f'coalesce(sum({prefix}"sum_{b}"::DECIMAL(38,6)), 0)::DOUBLE AS "sum_{b}"' for b in S.V.BUCKETS)
+
+
+@query(f"""SELECT u.*, t.* EXCLUDE (uid) FROM base6_day u JOIN (
+             SELECT u.uid, count(o.uid) AS orders, {summed('o.')} FROM base6_day u LEFT JOIN order_sum o
+               ON u.uid = o.uid AND o.ts_ms BETWEEN u.ts_ms - {30 * HOUR_MS} AND u.ts_ms + {30 * HOUR_MS}
+             GROUP BY u.uid) t ON u.uid = t.uid""", *SUM_VIEWS)
+def user_order_totals_30h(v: Views):
+    """Number and total of the orders in reach of each user, by running sums."""
+    return feed_joins.user_totals(users_within(v, 1), order_sums(v), hot_from=v.order_users())
+
+
+@query(f"""SELECT u.*, t.* EXCLUDE (uid) FROM base6_day u JOIN (
+             SELECT u.uid, (SELECT count(*) FROM order_sum o WHERE u.uid = o.uid AND o.ts_ms BETWEEN u.ts_ms - {30 * HOUR_MS} AND u.ts_ms + {30 * HOUR_MS}) AS orders,
+                    (SELECT count(*) FROM base2 b WHERE u.uid = b.uid AND b.ts BETWEEN u.ts_ms - {12 * HOUR_MS} AND u.ts_ms + {12 * HOUR_MS}) AS pages, {summed('p.')}
+             FROM base6_day u LEFT JOIN ({USER_PAGE}) p ON u.uid = p.uid GROUP BY u.uid, u.ts_ms) t ON u.uid = t.uid""", *SUM_VIEWS)
+def user_page_totals_12h(v: Views):
+    """The total over all orders and page rows in reach of each user, without forming them."""
+    return feed_joins.user_totals(users_within(v, 1), order_sums(v), base2_feed(v), hot_from=v.busy_users())
+
+
 @query(f"""SELECT * EXCLUDE (order_ts, order_id, page_ts, rn) FROM (
              SELECT *, row_number() OVER (PARTITION BY uid ORDER BY ts_ms DESC, order_ts DESC, order_id DESC, page_ts DESC) AS rn
              FROM ({USER_PAGE})) WHERE rn = 1""", *SUM_VIEWS)

@@ -79,6 +79,33 @@ def add_page_scores_to_sums(df: DataFrame) -> DataFrame:
     )
 
 
+def user_totals(
+    users: DataFrame,
+    scored_orders: DataFrame,
+    scored_pages: DataFrame | None = None,
+    order_bound_ms: int = 30 * HOUR_MS,
+    page_bound_ms: int = 12 * HOUR_MS,
+    hot_rows: int | None = None,
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
+    """Users with counts and totals over all orders and page rows in reach, without pairs or triples.
+
+    Alone with orders: ``orders`` and the total of each ``sum_*``. With pages too: ``pages`` as well, and ``sum_*`` is the total over
+    all combinations of an order and a page row in reach, each with the page's search and device scores added: every
+    order's sum counts once per page row, and every page row's scores once per order.
+    """
+    sums = scoring.score_columns("sum")
+    sides = [joins.Within(scored_orders, -order_bound_ms, order_bound_ms, "orders", {s: F.col(s) for s in sums})]
+    if scored_pages is None:
+        return joins.totals_within(users, sides, "uid", hot_rows=hot_rows, hot_from=hot_from)
+    scores = {f"_page_{b}": scoring.sum_of(f"search_{b}", f"device_{b}") for b in V.BUCKETS}
+    sides.append(joins.Within(scored_pages, -page_bound_ms, page_bound_ms, "pages", scores))
+    found = joins.totals_within(users, sides, "uid", hot_rows=hot_rows, hot_from=hot_from)
+    exact = lambda c: F.col(c).cast("decimal(30,6)")
+    pair = lambda b: exact(f"sum_{b}") * F.col("pages") + exact(f"_page_{b}") * F.col("orders")
+    return found.withColumns({f"sum_{b}": pair(b).cast("double") for b in V.BUCKETS}).drop(*scores)
+
+
 def comments_with_orders(
     comments: DataFrame, orders: DataFrame, key: str, lower_ms: int, upper_ms: int
 ) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import running, skew
@@ -145,6 +146,78 @@ def latest_within(
     return known.select(*[F.col(c) if c == key else F.col("_left")[c].alias(c) for c in left.columns], *picked)
 
 
+@dataclass(frozen=True)
+class Within:
+    """What to add up of the rows of one side: those with left + lower <= time <= left + upper, both inclusive."""
+
+    rows: DataFrame
+    lower_ms: int
+    upper_ms: int
+    count: str
+    sums: dict[str, Column] = field(default_factory=dict)
+    time: str = "ts_ms"
+
+
+def totals_within(
+    left: DataFrame,
+    sides: list[Within],
+    key: str,
+    left_time: str = "ts_ms",
+    hot_rows: int | None = None,
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
+    """Left rows, each with the number of rows and the sums of every side in its interval, without forming pairs.
+
+    Along the ordered times of a key an interval's sum is the difference of two running sums: up to its end, and before
+    its begin. All sides and both ends of all intervals go through one ordered pass, so the work is linear in the rows however
+    many are in reach of each other. Values are added as decimals of six places, so a difference of long sums is
+    exact; null values count as nothing. A left row without key, time or partner has counts and sums of 0. Equal left rows
+    stay as many as they are.
+    """
+    exact = lambda c: F.coalesce(c.cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)"))
+    names = [n for side in sides for n in (side.count, *side.sums)]
+    places = {n: f"_sum_{i}" for i, n in enumerate(names)}
+    whole = F.struct(*left.columns)
+    nothing = F.lit(None).cast(left.select(whole.alias("w")).schema["w"].dataType)
+
+    def line(df, at, kind: int, side: int, row, values: dict[str, Column]):
+        zero = F.lit(0).cast("decimal(38,6)")
+        return df.select(
+            F.col(key).alias(key), at.cast("bigint").alias("_at"), F.lit(kind).alias("_kind"), F.lit(side).alias("_side"),
+            row.alias("_row"), *[values.get(n, zero).alias(p) for n, p in places.items()],
+        )
+
+    rows = None
+    for i, side in enumerate(sides):
+        met = side.rows.filter(F.col(key).isNotNull() & F.col(side.time).isNotNull())
+        values = {side.count: exact(F.lit(1)), **{n: exact(c) for n, c in side.sums.items()}}
+        # At one time an interval's begin comes before the rows, and its end behind them.
+        parts = [
+            line(left, F.col(left_time) + side.lower_ms, 0, i, whole, {}),
+            line(met, F.col(side.time), 1, i, nothing, values),
+            line(left, F.col(left_time) + side.upper_ms, 2, i, whole, {}),
+        ]
+        for part in parts:
+            rows = part if rows is None else rows.unionByName(part)
+    done = running.with_running(
+        rows.withColumnsRenamed({p: f"{p}_" for p in places.values()}), key, "_at", ["_kind"],
+        {p: running.running_sum(F.col(f"{p}_")) for p in places.values()}, hot_rows, hot_from,
+    ).filter(F.col("_row").isNotNull())
+    ends = []
+    for i, side in enumerate(sides):
+        for n in (side.count, *side.sums):
+            at = lambda kind: F.max(F.when((F.col("_side") == i) & (F.col("_kind") == kind), F.col(places[n])))
+            ends.append((at(2) - at(0)).alias(places[n]))
+    copies = F.count(F.when((F.col("_side") == 0) & (F.col("_kind") == 0), 1)).alias("_copies")
+    found = done.groupBy(key, "_row").agg(copies, *ends)
+    each = found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+    counts = {side.count for side in sides}
+    return each.select(
+        *[F.col(c) if c == key else F.col("_row")[c].alias(c) for c in left.columns],
+        *[F.col(p).cast("bigint" if n in counts else "double").alias(n) for n, p in places.items()],
+    )
+
+
 def small_enough(dim: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> bool:
     """The check before a broadcast: rows and bytes of a dimension, by one map-side combined aggregate."""
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows

@@ -130,6 +130,42 @@ def with_running(
     )
 
 
+def with_distinct_counts(
+    df: DataFrame, key: str, position: str, ties: Sequence[str], fields: Sequence[str], hot_rows: int | None = None,
+    hot_from: DataFrame | None = None, suffix: str = "_count", new: str = "_new",
+) -> DataFrame:
+    """Add per field the number of distinct non-null values so far, and whether the row's value is new.
+
+    A value counts once, at its first row. First rows come from one aggregate over all fields, combined before the shuffle,
+    and the counts are running sums over them, so neither work nor output grows with the values that a key already has.
+    Lists of the values, where asked for, are the new ones in order. Rows of one position and equal ties are one place.
+    """
+    place = F.struct(position, *ties)
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f).cast("string").alias("value")) for i, f in enumerate(fields)]))
+    firsts = (
+        df.select(key, place.alias("_place"), values.alias("_v")).filter(F.col("_v.value").isNotNull())
+        .groupBy(key, "_v").agg(F.min("_place").alias("_place"))
+        # Of values that are first at one place only the number counts.
+        .groupBy(key, "_place").agg(*[F.count(F.when(F.col("_v.i") == i, 1)).alias(f"_first_{i}") for i in range(len(fields))])
+    )
+    whole = F.struct(*df.columns)
+    nothing = F.lit(None).cast(df.select(whole.alias("w")).schema["w"].dataType)
+    at = [position, *ties]
+    events = firsts.select(key, *[F.col(f"_place.{c}").alias(c) for c in at], F.lit(0).alias("_kind"), nothing.alias("_row"),
+                           *[f"_first_{i}" for i in range(len(fields))])
+    rows = df.select(key, *at, F.lit(1).alias("_kind"), whole.alias("_row"),
+                     *[F.lit(0).cast("bigint").alias(f"_first_{i}") for i in range(len(fields))])
+    columns = {f"_n_{i}": running_sum(F.col(f"_first_{i}")) for i in range(len(fields))}
+    # Whether a value is new: the sum before this place's own event is smaller.
+    columns |= {f"_here_{i}": last_known(F.when(F.col("_kind") == 0, F.struct(*at, f"_first_{i}")), [*at, "_kind"]) for i in range(len(fields))}
+    done = with_running(events.unionByName(rows), key, position, [*ties, "_kind"], columns, hot_rows, hot_from)
+    here = lambda i: F.struct(*[F.col(f"_here_{i}.{c}") for c in at]).eqNullSafe(F.struct(*at)) & (F.col(f"_here_{i}._first_{i}") > 0)
+    return done.filter("_kind = 1").select(
+        "_row.*", *[F.coalesce(f"_n_{i}", F.lit(0)).alias(f + suffix) for i, f in enumerate(fields)],
+        *[F.coalesce(here(i) & F.col("_row")[f].isNotNull(), F.lit(False)).alias(f + new) for i, f in enumerate(fields)],
+    )
+
+
 def device_value(field: str) -> Column:
     """A device field; a missing one counts as the text ``null``."""
     return F.coalesce(F.col(f"deviceInfo.{field}"), F.lit("null"))
