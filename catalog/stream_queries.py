@@ -88,6 +88,17 @@ def stream_running_state(v: Views):
     return run(flows.page_snapshots(with_closing_rows(pages), ttl_ms=None)).filter(F.col("uid") != CLOSING)
 
 
+COUNTED = ("os", "ch", "md", "ba", "search_item")
+
+
+@query(f"""SELECT uid, pv, window_start, ts, {', '.join(f"len(string_split({f}, ',')) - ({f} = '')::INTEGER AS {f}_count" for f in COUNTED)} FROM snapshot""", "snapshot")
+def stream_running_counts(v: Views):
+    """Running numbers of distinct values: each value counts in its first window and is read from state by its name only."""
+    pages = projections.with_uid(projections.page(streams(v).page_logs()))
+    rows = run(flows.page_snapshots(with_closing_rows(pages), ttl_ms=None, lists=False))
+    return rows.filter(F.col("uid") != CLOSING).drop(*[f"{f}_new" for f in COUNTED])
+
+
 @query("SELECT * EXCLUDE window_start, ts AS ts_ms FROM base2", "base2")
 def stream_base2_feed(v: Views):
     """The page feed as a stream in which a third of the page logs comes twice."""
