@@ -59,3 +59,12 @@ def test_cleaned_text_and_columns(spark):
     assert kept.columns == docs.columns
     assert [(r.doc_id, r.text, r.n_chars) for r in kept.collect()] == [(1, f"{good}\n\nEnd.", len(good) + 6)]
     assert quality.cleaned(docs.limit(0)).count() == 0
+
+
+def test_each_text_is_judged_once_and_clashing_columns_stay(spark):
+    good = " ".join(f"word{i}" for i in range(60)) + "."
+    docs = spark.createDataFrame([(good, "q", 1), (good + "\nMenu", None, None)], "text string, _quality string, quality int")
+    kept = quality.cleaned(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(good, "q", 1), (good, None, None)], key=str)

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shipped
+from tidemark.llm.common import shipped, slices
 
 shipped(__name__)
 
@@ -126,9 +127,21 @@ def judged(docs: DataFrame, text: str = "text", into: str = "quality") -> DataFr
 
 
 def cleaned(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
-    """The rows that are kept, their text without the failed lines; ``length``, if there, is counted anew."""
-    into = "_quality"
-    kept = judged(docs, text, into).filter(F.col(f"{into}.kept")).withColumn(text, F.col(f"{into}.clean_text"))
-    if length in docs.columns:
-        kept = kept.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return kept.select(docs.columns)
+    """The rows that are kept, their text without the failed lines; ``length``, if there, is counted anew.
+
+    Each text is judged once, in small slices. All other columns stay, whatever their names.
+    """
+    at = docs.columns.index(text)
+    counted = docs.columns.index(length) if length in docs.columns else None
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = [measures(t) for t in part.column(at).to_pylist()]
+            rows = part.filter(pa.array([f[6] for f in found], pa.bool_()))
+            columns, texts = list(rows.columns), [f[9] for f in found if f[6]]
+            columns[at] = pa.array(texts, part.schema.field(at).type)
+            if counted is not None:
+                columns[counted] = pa.array(map(len, texts), part.schema.field(counted).type)
+            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+    return docs.mapInArrow(clean, docs.schema)
