@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from catalog import sql as S
 from catalog.registry import query
-from catalog.views import START_MS, Views
+from catalog.views import START_MS, Views, order_time
 from tidemark import schemas, session
 from tidemark.functions import dates, numbers, text
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
 from tidemark.operators import (
-    cdc, dedup, dimensions, feed_joins, joins, projections, running, scoring,
+    cdc, dedup, dimensions, feed_joins, history, joins, projections, running, scoring,
 )
 from tidemark.plans import flows, jobs
 
@@ -640,6 +640,27 @@ def dim_lookup_left(v: Views):
     )
 
 
+@query(f"""
+    WITH changes AS (SELECT o_custkey AS id, {S.order_time('o_orderkey')} AS at, {S.order_time('o_orderkey')}::HUGEINT * 1000000000 + o_orderkey AS place,
+                            o_orderkey % 10 = 0 AS gone, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS level, o_totalprice AS price FROM orders),
+    met AS (SELECT e.event_id, c.* FROM (SELECT event_id, user_id, epoch_us(ts) // 1000 AS t FROM events) e
+            JOIN changes c ON e.user_id = c.id AND c.at <= e.t),
+    deleted AS (SELECT event_id, max(place) AS place FROM met WHERE gone GROUP BY event_id),
+    alive AS (SELECT m.* FROM met m LEFT JOIN deleted d ON m.event_id = d.event_id WHERE NOT m.gone AND (d.place IS NULL OR m.place > d.place))
+    SELECT e.event_id, e.user_id, a.level AS dim_level, a.price AS dim_price FROM events e LEFT JOIN (
+      SELECT event_id, arg_max(level, place) FILTER (level IS NOT NULL) AS level, arg_max(price, place) AS price FROM alive GROUP BY event_id) a
+      ON e.event_id = a.event_id""")
+def asof_dim_lookup(v: Views):
+    """Events with the user's data as it was then; every tenth change is a delete, every third leaves the level as it is."""
+    key = F.col("o_orderkey")
+    changes = v.table("orders").select(
+        F.col("o_custkey").alias("user_id"), F.when(key % 10 == 0, "d").otherwise("u").alias("op"), order_time(key).alias("at"), key.alias("seq"),
+        F.when(key % 3 != 0, F.col("o_orderpriority")).alias("level"), F.col("o_totalprice").alias("price"),
+    )
+    events = v.table("events").select("event_id", "user_id", dates.wall_clock_millis(F.col("ts")).alias("t"))
+    return history.asof_lookup(events, changes, "user_id", "t", ["level", "price"], ["at", "seq"], "dim_").drop("t")
+
+
 @query(f"""SELECT d.order_id, d.detail_id, d.ts_ms, o.id AS info_id, o.order_id AS info_order_id, o.uid AS info_uid, o.ts_ms AS info_ts_ms
            FROM detail_raw d JOIN (SELECT id, id AS order_id, uid, ts_ms FROM order_raw) o ON d.order_id = o.order_id
             AND o.ts_ms BETWEEN d.ts_ms - {2 * HOUR_MS} AND d.ts_ms + {HOUR_MS}""", "detail_raw", "order_raw")

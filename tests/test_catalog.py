@@ -41,7 +41,7 @@ FORCED = [
     "order_detail_interval_join_2h", "order_detail_interval_join_30d", "sku_enrich_lookup",
     "order_category_left_chain", "base4_feed", "user_sup_interval_join", "age_level_label", "final_label_merge",
     "user_sum_interval_join_30h", "user_sum_with_page_scores_12h", "user_latest_only", "dim_lookup_left",
-    "comment_order_prefix_join", "cdc_route_columns", "order_running_counts", "user_order_totals_30h", "user_page_totals_12h",
+    "comment_order_prefix_join", "cdc_route_columns", "order_running_counts", "user_order_totals_30h", "user_page_totals_12h", "asof_dim_lookup",
 ]
 
 
