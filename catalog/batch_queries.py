@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import sql as S
 from catalog.registry import query
-from catalog.views import START_MS, Views, order_time
+from catalog.views import START_MS, Views, order_time, pick
 from tidemark import schemas, session
 from tidemark.functions import dates, numbers, text
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
@@ -750,17 +750,27 @@ def hex_words_split(v: Views):
     return v.table("customer").select("c_custkey", F.array_join(text.hex_words(data), ",").alias("words"))
 
 
-@query("""SELECT o_orderkey, o_orderkey::VARCHAR AS from_hex, o_orderkey::VARCHAR AS from_text, '0' AS missing,
-                 (o_orderkey * 1000)::VARCHAR AS ether FROM orders""")
+#: Numbers of 200 to 256 bits.
+WIDE = (2**256 - 1, 2**255 + 10**18, 3**150, 10**60 + 7, 2**200)
+
+
+@query(f"""SELECT o_orderkey, o_orderkey::VARCHAR AS from_hex, o_orderkey::VARCHAR AS from_text, '0' AS missing,
+                  (o_orderkey * 1000)::VARCHAR AS ether, (o_orderkey::HUGEINT * 18446744073709551616 + o_custkey)::VARCHAR AS wide,
+                  {S.pick([str(n) for n in WIDE], 'o_orderkey % 5')} AS wider,
+                  o_custkey || '.' || lpad(o_orderkey::VARCHAR, 18, '0') || '9' AS fine FROM orders""")
 def hex_to_decimal(v: Views):
     key = F.col("o_orderkey")
     convert = numbers.hex_or_decimal_to_text
+    fine = F.concat(F.col("o_custkey").cast("string"), F.lpad(key.cast("string"), 18, "0"))
     return v.table("orders").select(
         "o_orderkey",
         convert(F.concat(F.lit("0x"), F.lower(F.hex(key)))).alias("from_hex"),
         convert(key.cast("string")).alias("from_text"),
         convert(F.when(key < 0, F.lit("0"))).alias("missing"),
         convert(F.concat((key * 1000).cast("string"), F.repeat(F.lit("0"), F.lit(18))), in_ether=True).alias("ether"),
+        convert(F.concat(F.lit("0x"), F.hex(key), F.lpad(F.hex("o_custkey"), 16, "0"))).alias("wide"),
+        convert(pick([hex(n) for n in WIDE], key % 5)).alias("wider"),
+        convert(F.concat(fine, F.lit(".9")), in_ether=True).alias("fine"),
     )
 
 

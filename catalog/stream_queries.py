@@ -226,6 +226,33 @@ def stream_chained_label(v: Views):
     return newest.drop("page_ts_ms", "order_ts_ms")
 
 
+@query("SELECT DISTINCT uid, ts FROM page_log", "page_log")
+def stream_user_dedup_ttl(v: Views):
+    """Times of each user's pages, each passed once; a user's last time is known for one day."""
+    pages = streams(v).page_logs().select(F.col("common.uid").alias("uid"), "ts")
+    return run(state.increasing_only(pages, "uid", "ts", DAY_MS), idle=False)
+
+
+@query("SELECT uid, window_start, ch, count(*) AS views FROM (SELECT DISTINCT uid, ts, os, ch, md, ba FROM page_log) GROUP BY ALL".replace(
+    "window_start,", f"(ts // {HOUR_MS} * {HOUR_MS})::BIGINT AS window_start,"), "page_log")
+def stream_restart(v: Views):
+    """Pages per user, channel and hour without copies, by a query that is stopped twice and goes on from its checkpoint."""
+    source = session.shared_folder(v.spark)
+    pages = projections.page(v.page_logs()).select("uid", "ts", "deviceInfo")
+    pages.repartition(6, "uid").write.parquet(f"{source}/pages")
+    rows = v.spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/pages")
+    timed = with_event_time(rows.select("uid", "ts", "deviceInfo.os", "deviceInfo.ch", "deviceInfo.md", "deviceInfo.ba"), "ts", lateness="40 days")
+    hours = state.distinct_rows(timed).groupBy(F.window(EVENT_TIME, "1 hour"), "uid", "ch").agg(F.count("*").alias("views"))
+    counted = hours.select("uid", F.unix_millis("window.start").alias("window_start"), "ch", "views")
+    writer = (
+        counted.writeStream.outputMode("update").option("checkpointLocation", f"{source}/checkpoint")
+        .foreachBatch(files.batch_folders(f"{source}/rows", "parquet"))
+    )
+    runs.run_with_stops(writer, v.spark, stops=2)
+    written = v.spark.read.schema(f"{schema_of(counted)}, batch BIGINT").parquet(f"{source}/rows")
+    return dedup.latest(written, ["uid", "window_start", "ch"], ["batch"]).drop("batch")
+
+
 # --- File sinks ------------------------------------------------------------------------------------------
 
 

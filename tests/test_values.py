@@ -266,3 +266,37 @@ def test_routed_values_keep_their_types(spark):
     envelopes = cdc.parse_envelope(rows(spark, [line], "value STRING"))
     assert cdc.route(envelopes, routes).first()["value"] == '{"id":1,"amount":12.5,"name":"x"}'
     assert cdc.route(envelopes, facts).first()["value"] == '{"id":1}'
+
+
+def plain_decimal_text(text, shift):
+    """Hex or decimal text by Python's own numbers."""
+    from decimal import Context, Decimal
+
+    if text is None:
+        return "0"
+    exact = Context(prec=400)
+    number = exact.create_decimal(int(text[2:] or "0", 16) if text.startswith("0x") else text)
+    if shift:
+        own_scale = max(0, -number.as_tuple().exponent)
+        number = exact.scaleb(number, -shift)
+        while -number.as_tuple().exponent > own_scale and number.as_tuple().digits[-1] == 0:
+            digits = number.as_tuple()
+            number = Decimal((digits.sign, digits.digits[:-1] or (0,), digits.exponent + 1))
+    return format(number, "f")
+
+
+def test_numbers_of_any_length_equal_plain_ones(spark):
+    import random
+
+    rng = random.Random(8)
+    cases = [None, "0", "0x", "0x0", "0x00000000", "-0", "+7", "007", "1e3", "12E-4", ".5", "5.", "-1.500", "0.00", "1E+2", "120e-1"]
+    cases += [hex(rng.getrandbits(n)) for n in range(1, 330, 3)] + [hex(16**n) for n in range(0, 70, 3)] + [hex(10**n) for n in range(0, 78, 2)]
+    cases += [str(rng.getrandbits(n)) for n in range(1, 260, 9)] + [f"{rng.choice(['', '-'])}{rng.getrandbits(90)}.{rng.choice(['', '0', '00'])}{rng.getrandbits(rng.choice([1, 40, 90]))}0" for _ in range(60)]
+    cases += [f"{10**rng.randint(0, 30)}" for _ in range(30)] + ["0X1F".replace("X", "x"), "0xABCDEF"]
+    df = spark.createDataFrame([(c,) for c in cases], "v STRING").select(
+        "v", numbers.hex_or_decimal_to_text(F.col("v")).alias("plain"), numbers.hex_or_decimal_to_text(F.col("v"), True).alias("ether"))
+    for r in df.collect():
+        assert (r.plain, r.ether) == (plain_decimal_text(r.v, 0), plain_decimal_text(r.v, 18)), r.v
+    for bad in ("", "x", "0xZ", "1.2.3", "."):
+        with pytest.raises(Exception, match="no number"):
+            spark.createDataFrame([(bad,)], "v STRING").select(numbers.hex_or_decimal_to_text(F.col("v"))).collect()

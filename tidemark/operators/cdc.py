@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +43,23 @@ def table(envelopes: DataFrame, name: str, schema: str | None = None) -> DataFra
     )
 
 
+def split_tables(envelopes: DataFrame, path: str) -> Callable[[str], DataFrame]:
+    """Write all tables of a change feed, each to a folder of its own, in one job; the result reads a table's live rows.
+
+    The envelope text is parsed once for all of them, deletes are left out on the way, and a reader opens the files of its
+    table only and parses ``after`` there. A table with most of the changes is written by many tasks.
+    """
+    rows = envelopes.filter((F.col("op") != DELETE) & F.col("after").isNotNull())
+    rows.select(F.col("source.table").alias("table"), "op", "ts_ms", "after").write.mode("overwrite").partitionBy("table").parquet(path)
+    stored = envelopes.sparkSession.read.schema("op STRING, ts_ms BIGINT, after STRING, table STRING").parquet(path)
+
+    def read(name: str) -> DataFrame:
+        found = stored.filter(F.col("table") == name).drop("table")
+        return found.withColumn("after", F.from_json("after", schemas.TABLES[name]))
+
+    return read
+
+
 def live(changes: DataFrame) -> DataFrame:
     """Parsed changes of one table without deletes."""
     return changes.filter((F.col("op") != DELETE) & F.col("after").isNotNull())

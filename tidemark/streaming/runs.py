@@ -93,3 +93,18 @@ def run_until_timers_end(rows: DataFrame, folder: str, poll: float = 0.2) -> Dat
     finally:
         query.stop()
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
+def run_with_stops(writer: DataStreamWriter, spark: SparkSession, stops: int, poll: float = 0.05) -> None:
+    """Run a query over what is there now, stopped ``stops`` times after a batch, most likely within the next one.
+
+    Each start goes on from the checkpoint; a batch that was broken off is done again.
+    """
+    for _ in range(stops):
+        query = start(writer, spark, trigger="0 seconds")
+        while query.isActive and not query.recentProgress:
+            time.sleep(poll)
+        query.stop()
+        if query.exception() is not None:
+            raise query.exception()
+    start(writer, spark, trigger=None).awaitTermination()
