@@ -11,7 +11,7 @@ from tidemark import schemas, session
 from tidemark.functions import dates, numbers, text
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
 from tidemark.operators import (
-    cdc, dedup, dimensions, feed_joins, history, joins, projections, running, scoring,
+    cdc, dedup, dimensions, feed_joins, history, joins, projections, running, scoring, sketch,
 )
 from tidemark.plans import flows, jobs
 
@@ -382,6 +382,17 @@ def order_bloom_equiv_dedup(v: Views):
     return fresh.select("order_id", "ts_ms", "uid", "sku_id")
 
 
+@query("""SELECT order_id, ts_ms, uid, sku_id FROM order_fresh f
+          WHERE NOT EXISTS (SELECT 1 FROM order_raw o WHERE o.k % 2 = 0 AND o.id = f.order_id AND o.ts_ms = f.ts_ms)""", "order_fresh", "order_raw")
+def order_sketch_dedup(v: Views):
+    """Fresh orders without those of which a time is known; most that are not known never leave their task."""
+    orders, details = narrow_changes(v)
+    known = orders.filter(F.col("order_id").cast("bigint") % 2 == 0).select("order_id", "ts_ms")
+    unknown = sketch.unknown(orders, known, ["order_id", "ts_ms"])
+    fresh = dedup.by_key_and_time(feed_joins.orders_with_sku(unknown, details), "order_id")
+    return fresh.select("order_id", "ts_ms", "uid", "sku_id")
+
+
 @query(f"""SELECT uid, ts // {DAY_MS} * {DAY_MS} AS ts_ms, min(event_id) AS event_id FROM page_log GROUP BY ALL""",
        "page_log")
 def user_bloom_equiv_dedup(v: Views):

@@ -13,7 +13,7 @@ from tidemark.functions import dates
 from tidemark.functions.dates import DAY_MS, HOUR_MS, MINUTE_MS
 from tidemark.operators import cdc, dedup, projections
 from tidemark.plans import jobs
-from tidemark.sinks import files, topics
+from tidemark.sinks import buckets, files, topics
 from tidemark.sources import dimensions, feeds
 from tidemark.streaming import flows, joins, runs, state, times
 from tidemark.streaming.times import EVENT_TIME, with_event_time
@@ -296,31 +296,51 @@ def topic_routing_partitioned(v: Views):
     return stored.select("topic", F.get_json_object("value", "$.id").cast("bigint").alias("id"))
 
 
-@query(f"""
+DIMENSION_AFTER = """
     WITH changes AS (SELECT o_custkey AS id, o_orderkey AS seq, CASE WHEN o_orderkey % 10 = 0 THEN 'd' ELSE 'u' END AS op,
                             CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS name FROM orders),
     everything AS (SELECT * FROM changes UNION ALL SELECT c_custkey, -1, 'r', c_name FROM customer),
     alive AS (SELECT e.* FROM everything e LEFT JOIN (SELECT id, max(seq) AS gone FROM changes WHERE op = 'd' GROUP BY id) g
         ON e.id = g.id WHERE e.op <> 'd' AND (g.gone IS NULL OR e.seq > g.gone))
-    SELECT id, arg_max(name, seq) FILTER (name IS NOT NULL) AS name FROM alive GROUP BY id""")
+    SELECT id, arg_max(name, seq) FILTER (name IS NOT NULL) AS name FROM alive GROUP BY id"""
+
+
+@query(DIMENSION_AFTER)
 def stream_dimension_versions(v: Views):
     """A change stream kept applied to a versioned dimension."""
     folder = session.shared_folder(v.spark)
     v.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).write.parquet(
         f"{folder}/dim/version=0"
     )
-    key = F.col("o_orderkey")
-    changes = streams(v).table("orders").select(
-        F.col("o_custkey").alias("id"), key.alias("seq"), F.when(key % 10 == 0, "d").otherwise("u").alias("op"),
-        F.when(key % 3 != 0, F.col("o_orderpriority")).alias("name"),
-    )
-    writer = changes.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(
+    writer = named_changes(v).writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(
         files.dimension_versions(f"{folder}/dim", "id", ["name"], ["seq"])
     )
     runs.start(writer, v.spark, trigger=None).awaitTermination()
     return dimensions.current_version(v.spark, f"{folder}/dim")
 
 
+@query(DIMENSION_AFTER)
+def stream_bucketed_dimension(v: Views):
+    """The same changes in a dimension of which each batch rewrites only the buckets it touches."""
+    folder = session.shared_folder(v.spark)
+    dim = buckets.Dimension(v.spark, f"{folder}/dim", "id", ["name"])
+    dim.create(v.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+    writer = named_changes(v).writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(
+        buckets.bucketed_versions(dim, ["seq"])
+    )
+    runs.start(writer, v.spark, trigger=None).awaitTermination()
+    return dim.read()
+
+
+def named_changes(v: Views) -> DataFrame:
+    """Orders as a change stream of customers' names."""
+    key = F.col("o_orderkey")
+    return streams(v).table("orders").select(
+        F.col("o_custkey").alias("id"), key.alias("seq"), F.when(key % 10 == 0, "d").otherwise("u").alias("op"),
+        F.when(key % 3 != 0, F.col("o_orderpriority")).alias("name"),
+    )
+
+
 @query("""SELECT o_custkey AS id, max(o_orderkey) AS seq, arg_max(o_orderpriority, o_orderkey) AS name FROM orders GROUP BY o_custkey""")
 def topic_upsert_round_trip(v: Views):
     """Rows written as key and value, of which the last per key counts."""
