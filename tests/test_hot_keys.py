@@ -231,3 +231,24 @@ def test_copies_collapse(spark):
     copies = spark.createDataFrame([("a", 1, 5)] * 500 + [("a", 1, 6), ("b", 1, 5)], "k STRING, ts_ms INT, x INT")
     assert dedup.full_row(copies).count() == 3
     assert as_set(dedup.by_key_and_time(copies, "k"), "k", "ts_ms", "x") == [("a", 1, 5), ("b", 1, 5)]
+
+
+@pytest.mark.parametrize("kind", ["number", "text"])
+def test_many_rows_of_one_position_are_cut_by_the_tie(spark, kind):
+    """A third of the rows have no real time (0); ties are unique, and some are null."""
+    pick = random.Random(12)
+    ties = pick.sample(range(3000), 2000)
+    tie = lambda i: None if i % 50 == 0 else i if kind == "number" else f"n{i:05d}" if i % 2 else f"ñ{i}"
+    rows = [("hot" if i % 10 else "u", 0 if i % 3 == 0 else pick.choice([None, -5, *range(1, 400)]), tie(t), i) for i, t in enumerate(ties)]
+    df = spark.createDataFrame(rows, f"k STRING, at BIGINT, tie {'INT' if kind == 'number' else 'STRING'}, n INT").repartition(4)
+    ranges = skew.find_hot_ranges(df, "k", "at", 100)
+    heavy = skew.find_heavy(df, ranges, "k", "at", "tie", 100)
+    chunks = skew.with_tie_chunk(skew.with_chunk(df, ranges, "k", "at"), heavy, "k", "at", "tie").filter("k = 'hot' AND at = 0")
+    assert chunks.select("_chunk").distinct().count() > 10
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, (r[2] or 0) if kind == "number" else (r[2] or "").encode(), r[3])
+    want, seen = [], {}
+    for r in sorted(rows, key=order):
+        seen[r[0]] = seen.get(r[0], 0) + r[3]
+        want.append((*r, seen[r[0]]))
+    got = running.with_running(df, "k", "at", ["tie", "n"], {"total": running.running_sum(F.col("n"))}, 100)
+    assert as_set(got, "k", "at", "tie", "n", "total") == sorted(want, key=repr)

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.functions.text import sorted_csv
 from tidemark.operators import skew
 
@@ -86,7 +87,7 @@ def last_known(value: Column, order: Sequence[str]) -> Running:
 
 
 def last_of_position(position: str) -> Running:
-    """Whether the next row of the key has another position. A position is never split over chunks."""
+    """Whether the next row of the key has another position. Only for positions with few rows, which are never split."""
     return Running(
         inside=lambda w: F.coalesce(F.lead(position).over(w) != F.col(position), F.lit(True)),
         total=F.count("*"),
@@ -103,10 +104,13 @@ def with_running(
     columns: dict[str, Running],
     hot_rows: int | None = None,
     hot_from: DataFrame | None = None,
+    cut_ties: bool = True,
 ) -> DataFrame:
     """Add running ``columns`` per ``key``, in the order of ``position`` (a number) and then ``ties``.
 
-    ``hot_from`` is a cheaper table with ``key`` and ``position`` to look for hot keys in.
+    ``hot_from`` is a cheaper table with ``key`` and ``position`` to look for hot keys in. Many rows of one position are cut
+    by the first of the ties, if that is a whole number or text, unless ``cut_ties`` is off. Rows with their chunks are made once and kept in the shared
+    folder, as both the rows and the totals of earlier chunks come from them.
     """
     ranges = skew.find_hot_ranges(df if hot_from is None else hot_from, key, position, hot_rows)
     if ranges is None:
@@ -114,6 +118,10 @@ def with_running(
         return df.select("*", *[r.inside(in_key).alias(n) for n, r in columns.items()])
 
     chunked = skew.with_chunk(df, ranges, key, position)
+    heavy = skew.find_heavy(df, ranges, key, position, ties[0], hot_rows, hot_from) if ties and cut_ties else None
+    if heavy is not None:
+        chunked = skew.with_tie_chunk(chunked, heavy, key, position, ties[0])
+    chunked = session.stored(chunked)
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(position, *ties)
     inside = chunked.select("*", *[r.inside(in_chunk).alias(f"_in_{n}") for n, r in columns.items()])
     hot_only = chunked.join(F.broadcast(ranges.select(key)), key, "left_semi")
@@ -225,7 +233,7 @@ def page_window_snapshots(
         "ts": latest_time("_ts"),
     }
     users = (pages if hot_from is None else hot_from).select("uid", start)
-    done = with_running(counted, "uid", "window_start", fields, columns, hot_rows, users).filter("_last")
+    done = with_running(counted, "uid", "window_start", fields, columns, hot_rows, users, cut_ties=False).filter("_last")
     return done.select("uid", "window_start", "pv", *[sorted_csv(F.col(f"_{f}")).alias(f) for f in fields], "ts")
 
 

@@ -20,6 +20,8 @@ SAMPLED_ROWS = 2_000
 PARTS = 4
 #: Quantiles at which the positions of a hot key are cut first, before even cuts between them.
 QUANTILES = 16
+#: Parts into which the rows of one heavy position are cut by their tie.
+TIE_CUTS = 64
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int | None = None, position: str | None = None) -> DataFrame:
@@ -62,11 +64,61 @@ def find_hot_ranges(df: DataFrame, key: str, position: str, min_rows: int | None
     return _found(hot_keys(df, key, min_rows, position).select(key, "_cuts", even))
 
 
+def tie_number(df: DataFrame, tie: str) -> Column | None:
+    """A number that grows with a tie column, so that rows of one position can be cut by it: whole numbers as they are, of
+    texts the first seven bytes. Nulls are lowest. Other types have none."""
+    kind = df.schema[tie].dataType.typeName()
+    if kind in ("byte", "short", "integer", "long"):
+        return F.coalesce(F.col(tie).cast("bigint"), F.lit(-(1 << 63)))
+    if kind == "string":
+        start = F.substring(F.col(tie).cast("binary"), 1, 7)
+        return F.coalesce(F.conv(F.rpad(F.hex(start), 14, "0"), 16, 10).cast("bigint"), F.lit(-1))
+    return None
+
+
+def find_heavy(
+    df: DataFrame, ranges: DataFrame, key: str, position: str, tie: str, min_rows: int | None = None, hot_from: DataFrame | None = None
+) -> DataFrame | None:
+    """Per hot key the positions with more than ``min_rows`` rows each, with ``TIE_CUTS`` quantiles of ``tie`` there, or None.
+
+    Positions are counted in a sample; only where there are any is the tie looked at.
+    """
+    number = tie_number(df, tie)
+    if number is None:
+        return None
+    min_rows = min_rows or HOT_ROWS
+    fraction = min(1.0, SAMPLED_ROWS / min_rows)
+    source = (df if hot_from is None else hot_from).select(key, position).filter(F.col(position).isNotNull())
+    rows = source.sample(fraction, seed=1) if fraction < 1 else source
+    counts = rows.join(F.broadcast(ranges.select(key)), key, "left_semi").groupBy(key, position).agg((F.count("*") / F.lit(fraction)).alias("_rows"))
+    heavy = _found(counts.filter(F.col("_rows") > min_rows).select(key, position))
+    if heavy is None:
+        return None
+    rows = df.select(key, position, number.alias("_tie")).join(F.broadcast(heavy), [key, position], "left_semi")
+    rows = rows.sample(fraction, seed=1) if fraction < 1 else rows
+    at = [i / TIE_CUTS for i in range(1, TIE_CUTS)]
+    cuts = rows.groupBy(key, position).agg(F.array_distinct(F.percentile_approx("_tie", at, 10_000)).alias("cuts"))
+    each = F.struct(F.col(position).alias("at"), "cuts")
+    return _found(cuts.groupBy(key).agg(F.array_sort(F.collect_list(each)).alias("_heavy")))
+
+
+def with_tie_chunk(df: DataFrame, heavy: DataFrame, key: str, position: str, tie: str) -> DataFrame:
+    """``_chunk`` made finer: each heavy position has chunks of its own, cut by the tie, between those of what is before and
+    behind it."""
+    at, number = F.col(position), tie_number(df, tie)
+    joined = df.join(F.broadcast(heavy), key, "left")
+    before = F.size(F.filter("_heavy", lambda h: h["at"] < at))
+    mine = F.get(F.filter("_heavy", lambda h: h["at"] == at), F.lit(0))
+    inside = F.size(F.filter(mine["cuts"], lambda c: c <= number))
+    finer = F.col("_chunk") * (1 << 32) + (2 * before + F.when(mine.isNotNull(), 1).otherwise(0)).cast("bigint") * (1 << 16) + F.when(mine.isNotNull(), inside).otherwise(0)
+    return joined.withColumn("_chunk", F.when(F.col("_heavy").isNotNull() & at.isNotNull(), finer).otherwise(F.col("_chunk") * (1 << 32))).drop("_heavy")
+
+
 def with_chunk(df: DataFrame, ranges: DataFrame, key: str, position: str) -> DataFrame:
     """Number the chunk of ``position`` each row of a hot key is in; rows of other keys get chunk 0.
 
     Chunks grow with the position, and rows without one come first, as in a sort. The cuts follow the rows, so a few
-    far positions or a burst do not put the others in one chunk; rows of one position stay together.
+    far positions or a burst do not put the others in one chunk; rows of one position stay together, see :func:`with_tie_chunk`.
     """
     at = F.col(position)
     cut = F.least(F.greatest(F.size(F.filter("_cuts", lambda x: x <= at)), F.lit(1)), F.lit(QUANTILES))
