@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from compare import differences, duck
+from conftest import DATA
 from fixtures import odd_docs
 
-from tidemark.llm import quality
+from tidemark.llm import quality, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -68,3 +70,8 @@ def test_each_text_is_judged_once_and_clashing_columns_stay(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(good, "q", 1), (good, None, None)], key=str)
+
+
+def test_query_matches_sql(spark):
+    df = queries.QUERIES["op5_line_first_quality"](spark, DATA)
+    assert differences(df, duck(DATA), queries.CHECKS["op5_line_first_quality"]) == []
