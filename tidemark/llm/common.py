@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
@@ -43,6 +44,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written and that nothing refers to any more.
+
+    Spark does so when the driver collects garbage, which with little work there may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, looked_up
+from tidemark.llm.common import checkpointed, looked_up, release
 from tidemark.llm.components import components
 
 #: Units of a bucket with at most so many are compared one with another, so a unit has fewer pairs than this in a bucket.
@@ -46,7 +46,10 @@ def buckets(rows: DataFrame, once: bool = False) -> tuple[DataFrame, DataFrame]:
         shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     else:
         shared = rows.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low != high")
-    members = checkpointed(looked_up(rows, checkpointed(shared.select("key")), ["key"]).distinct())
+    keys = checkpointed(shared.select("key"))
+    release(rows.sparkSession)
+    members = checkpointed(looked_up(rows, keys, ["key"]).distinct())
+    release(rows.sparkSession)
     named = members.select("h1", "h2").distinct().withColumn("node", F.monotonically_increasing_id())
     named = checkpointed(named.select("node", "h1", "h2"))
     return checkpointed(members.join(named, ["h1", "h2"]).select("key", "node", "size")), named
@@ -88,6 +91,7 @@ def linked(
     star = in_buckets.join(heads, "key").filter((F.col("node") != F.col("a")) & fits(F.col("size"), F.col("size_a")))
     star = checkpointed(star.select("a", F.col("node").alias("b")).distinct())
     near = similar(star)
+    release(rows.sparkSession)
     found = components(near)
 
     placed = in_buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -95,6 +99,7 @@ def linked(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("units")
     ).filter("low != high")
     mixed = checkpointed(placed.join(spread.select("key", "units"), "key").select("key", "units", "node", "component", "size"))
+    release(rows.sparkSession)
     if mixed.isEmpty():
         return in_components(found)
     rest = _all_pairs(mixed.filter(F.col("units") <= FEW_UNITS), fits)
@@ -103,6 +108,7 @@ def linked(
         sets = of(crowded.select("node")).select("node", shingles("unit").alias("shingles"))
         rest = rest.union(_by_prefix(sets, crowded, threshold)).distinct()
     rest = checkpointed(rest.join(star, ["a", "b"], "left_anti"))
+    release(rows.sparkSession)
     if rest.isEmpty():
         return in_components(found)
     return in_components(components(near.union(similar(rest))))
