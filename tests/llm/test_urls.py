@@ -3,6 +3,8 @@
 import itertools
 import re
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import urls
 from tidemark.llm.queries import URL_RULES
 
@@ -92,6 +94,35 @@ def test_a_bad_host_stays_a_rule_as_data_grow_and_a_doubtful_one_is_none(spark):
         assert not any(set(r["items"]) & {"d:half.net", "h:half"} for r in rules), n
 
 
+def test_long_urls_that_are_there_a_few_times(spark):
+    """Sixty segments and forty query keys, five times: each token that only they have is a rule, and nothing else."""
+    deep = "http://deep.org/" + "/".join(f"seg{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    deep += "?" + "&".join(f"k{i}=1" for i in range(40))
+    rows = [(deep, True)] * 5 + [(f"http://good.z{i % 7}.org/s/{i}", False) for i in range(60)]
+    rules = urls.mined(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    got = {tuple(r["items"]) for r in rules}
+    own = {t for r in spark.createDataFrame([(deep,)], "url string").select(urls.tokens(F.col("url")).alias("t")).collect() for t in r.t}
+    assert got == {(t,) for t in own - {"s:http", "h:org"}} and len(got) == 102
+    assert {(r.confidence, r.urls) for r in rules} == {(1.0, 5)}
+
+
+def test_rules_of_tokens_alike_are_spelled_out(spark):
+    """Two groups of tokens, each also on good URLs, of which only both together are sure."""
+    rows = [("http://a.org/p/q?x=&y=", True)] * 6 + [("http://b.org/p/q", False)] * 6 + [("http://c.org/?x=&y=", False)] * 6
+    rows += [("http://a.org/z", False)] * 6
+    rules = urls.mined(spark.createDataFrame(rows, "url string, bad boolean"), min_confidence=0.9).collect()
+    want = {(p, q) for p in ("p:p", "p:q") for q in ("q:x", "q:y")}
+    want |= {tuple(sorted((a, t))) for a in ("d:a.org", "h:a") for t in ("p:p", "p:q", "q:x", "q:y")}
+    assert {tuple(r["items"]) for r in rules} == want
+
+
+def test_a_column_with_the_name_of_a_mark_stays(spark):
+    pages = spark.createDataFrame([("http://a.org/", "mine")], "url string, _listed string")
+    none = urls.mined(spark.createDataFrame([], "url string, bad boolean"))
+    got = urls.judged(pages, none, URL_RULES).select("_listed", "verdict").collect()
+    assert [tuple(r) for r in got] == [("mine", "allow")]
+
+
 def test_no_labels_give_no_rules(spark):
     assert urls.mined(spark.createDataFrame([("http://a.org/", False)], "url string, bad boolean")).count() == 0
     pages = spark.createDataFrame([], "page_id int, url string")

@@ -2,7 +2,8 @@
 
 URLs are baskets of tokens. FP-growth mines the combinations that are frequent among labelled URLs, together with the
 label. A combination becomes a blocking rule if enough of the URLs with it are bad (confidence), and no smaller
-combination in it is as sure. Rules are matched by an inverted index: a rule is filed under its rarest token, a URL
+combination in it is as sure. Tokens that stand in exactly the same URLs are mined as one, so that a long URL that is
+there a few times gives no more combinations than a short one. Rules are matched by an inverted index: a rule is filed under its rarest token, a URL
 looks up its own tokens, and only the rules found there are compared with the whole URL.
 """
 
@@ -14,7 +15,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, lower_ascii
+from tidemark.llm.common import checkpointed, free_name, lower_ascii
 
 BAD = "=bad"
 #: A rule has at least so many URLs, the same at every size. A share of all would lose bad hosts as data grow.
@@ -87,12 +88,14 @@ def mined(
     baskets = known.select(
         F.when(F.col(bad), F.array_append(tokens(F.col(url)), F.lit(BAD))).otherwise(tokens(F.col(url))).alias("items")
     )
-    baskets = checkpointed(baskets)
+    baskets = checkpointed(baskets.withColumn("row", F.monotonically_increasing_id()))
     rows, wrong = baskets.agg(F.count("*"), F.count_if(F.array_contains("items", BAD))).first()
     spark = labelled.sparkSession
     if not wrong:
         return spark.createDataFrame([], "items array<string>, rule string, confidence double, lift double, urls bigint")
     least = max(min_support * rows, min_urls)
+    alike = checkpointed(_alike(baskets, least * min_confidence))
+    baskets = checkpointed(_merged(baskets, alike))
     # A combination that is frequent enough among the bad ones; how many others have it is counted afterwards.
     model = FPGrowth(minSupport=min(1.0, least * min_confidence / rows), minConfidence=1e-9).fit(baskets)
     found = model.freqItemsets
@@ -109,7 +112,42 @@ def mined(
     rules = checkpointed(
         rules.select("items", F.array_join("items", " ").alias("rule"), "confidence", "lift", "urls")
     )
-    return checkpointed(_without_implied(rules))
+    return checkpointed(_spelled_out(_without_implied(rules), alike))
+
+
+def _alike(baskets: DataFrame, least: float) -> DataFrame:
+    """Tokens of at least ``least`` URLs in groups that stand in the same URLs: ``token`` (the first) and ``tokens``.
+
+    Groups are told by how many URLs they have and by two sums of hashes of these.
+    """
+    each = baskets.select("row", F.explode("items").alias("token"))
+    # Sums of 64-bit hashes in 38-digit decimals neither overflow nor depend on the order of rows.
+    total = lambda seed: F.sum(F.xxhash64("row", F.lit(seed)).cast("decimal(20,0)"))
+    where = each.groupBy("token").agg(F.count("*").alias("n"), total(1).alias("one"), total(2).alias("two"))
+    same = where.filter(F.col("n") >= least).groupBy("n", "one", "two", F.col("token") == BAD)
+    return same.agg(F.array_sort(F.collect_list("token")).alias("tokens")).select(F.col("tokens")[0].alias("token"), "tokens")
+
+
+def _merged(baskets: DataFrame, alike: DataFrame) -> DataFrame:
+    """The baskets with the first token of each group only; tokens of too few URLs are left out."""
+    each = baskets.select("row", F.explode("items").alias("token")).join(alike.select("token"), "token")
+    return each.groupBy("row").agg(F.collect_list("token").alias("items")).select("items")
+
+
+def _spelled_out(rules: DataFrame, alike: DataFrame) -> DataFrame:
+    """Rules of groups as rules of tokens: one for each choice of a token per group, all equally sure.
+
+    No rule needs two tokens of a group, as one of them fits the same URLs.
+    """
+    groups = rules.select("rule", F.explode("items").alias("token")).join(alike, "token")
+    groups = groups.groupBy("rule").agg(F.collect_list("tokens").alias("groups"))
+    choices = F.aggregate(
+        "groups", F.array(F.array().cast("array<string>")),
+        lambda made, group: F.flatten(F.transform(made, lambda one: F.transform(group, lambda token: F.array_append(one, token)))),
+    )
+    spelled = groups.select("rule", F.explode(choices).alias("items")).withColumn("items", F.array_sort("items"))
+    rest = rules.drop("items").join(spelled, "rule")
+    return rest.select("items", F.array_join("items", " ").alias("rule"), "confidence", "lift", "urls")
 
 
 def lower_bound(share: Column, n: Column, deviations: float) -> Column:
@@ -159,7 +197,8 @@ def judged(pages: DataFrame, mined_rules: DataFrame, rules: Sequence[tuple[str,
     added = ("host", "path", "rule", "verdict", "mined_rule", "confidence")
     rows = pages.drop(*added).withColumn("host", host(F.col(url))).withColumn("path", path(F.col(url)))
     rule, what = listed(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", rule).withColumn("_listed", what)
+    mark = free_name(rows, "_listed")
+    rows = rows.withColumn("rule", rule).withColumn(mark, what)
     open_urls = rows.filter(F.col("rule").isNull())
     found = matches(open_urls, mined_rules, url)
     # Only URLs that the list leaves open are looked up; the others are spread as they come.
@@ -168,6 +207,6 @@ def judged(pages: DataFrame, mined_rules: DataFrame, rules: Sequence[tuple[str,
     return (
         looked.withColumn("mined_rule", F.when(left_open, F.col("mined_rule")))
         .withColumn("confidence", F.when(left_open, F.col("confidence")))
-        .withColumn("verdict", F.coalesce("_listed", F.when(F.col("mined_rule").isNotNull(), "block").otherwise("allow")))
-        .drop("_listed")
+        .withColumn("verdict", F.coalesce(F.col(mark), F.when(F.col("mined_rule").isNotNull(), "block").otherwise("allow")))
+        .drop(mark)
     )
