@@ -110,6 +110,33 @@ def test_paragraphs_cover_the_text(text, monkeypatch):
     assert [w for _, _, ws in found for w in ws] == text.lower().encode().split()
 
 
+SHORT_LINES = {
+    "verse": lambda seed: "\n".join(sentence(6, 1000 * seed + i)[:-1] for i in range(40)),
+    "list": lambda seed: "\n".join("- " + sentence(2, 1000 * seed + i) for i in range(60)),
+    "chinese": lambda seed: "。".join("".join(random.Random(1000 * seed + i).choices("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏", k=12)) for i in range(30)),
+}
+
+
+@pytest.mark.parametrize("kind", SHORT_LINES)
+def test_copies_of_texts_of_short_lines(spark, kind):
+    """Whole copies share all units; of copies pasted behind other lines of the same block most words are found."""
+    made = SHORT_LINES[kind]
+    base, glue = [made(i) for i in range(4)], "。" if kind == "chinese" else "\n"
+    pasted = glue.join([*made(7).split(glue)[:3], base[1], *made(8).split(glue)[:3]])
+    docs = spark.createDataFrame(list(enumerate([*base, base[0], pasted])), "doc_id bigint, text string")
+    got = check(spark, docs)
+    found = {i: sum(r.words for r in got if r.doc_id == i) for i in range(6)}
+    every = {i: len(paragraphs.words_of(t)) for i, t in enumerate([*base, base[0], pasted])}
+    assert found[0] == found[4] >= 0.9 * every[0] and found[2] == found[3] == 0
+    assert found[1] >= 0.7 * every[1] and found[5] >= 0.7 * every[1]
+
+
+def test_an_empty_line_ends_a_paragraph():
+    text = "one two three four\nfive six seven eight\n\nnine ten"
+    assert [(a, b, len(w)) for a, b, w in paragraphs.paragraphs(text)] == [(0, 40, 8)]
+    assert list(paragraphs.paragraphs("one two\n\nthree four five\n \nsix seven eight")) == []
+
+
 def test_query(spark):
     got = queries.QUERIES["op2_repeated_paragraphs"](spark, DATA).collect()
     assert got and all(r.end > r.start for r in got)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import accumulate, chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,34 +32,62 @@ MIN_STRETCH = 14
 GAP = 80
 ROWS = 2
 RECALL = 0.99
-#: A paragraph ends with its line or at a sentence's end: a mark, closing quotes or brackets, then white space.
-CUT = re.compile(r"\n|[.!?…。！？][\"'”’»)\]]*[ \t\v\f\r]+")
+#: A sentence ends with its line or at a mark, closing quotes or brackets, then white space, which full-width marks need not have.
+CUT = re.compile(r"\n|[.!?…][\"'”’»)\]]*[ \t\v\f\r]+|[。！？][\"'”’»)\]」』）]*[ \t\v\f\r]*")
+#: Characters of scripts without spaces count as words: Thai to Myanmar, Khmer, kana, Han.
+SPACELESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff])")
+#: Short lines are put together up to this many words.
+MOST_CARRIED = 32
 SEEDS = (11, 12)
 FIELDS = "id {id}, tie bigint, start bigint, stop bigint, h1 bigint, h2 int, words int"
 
 
+def words_of(text: str) -> list[bytes]:
+    if not text.isascii():
+        text = SPACELESS.sub(r" \1 ", text)
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
 def paragraphs(text: str | None) -> Iterator[tuple[int, int, list[bytes]]]:
     """Start, end and lower-case words of each paragraph with enough words.
 
-    A sentence with enough words is one, and so are the short ones between two of these or up to the line's end.
+    A sentence with enough words is one, and so are the short ones between two of these or up to the line's end. Lines
+    that have too few words are put together, up to an empty line at most. Where to stop is told by the last line's words,
+    so that copies of a passage are cut alike whatever stands before them. A word that fills a text alone gives none.
     """
     text = text or ""
-    at = start = 0
-    run: list[bytes] = []
+    at = start = begin = 0
+    run: list[bytes] = []  # short sentences of this line, from start
+    carried: list[bytes] = []  # short lines before it, from begin
     for cut in [*CUT.finditer(text), None]:
         end = cut.end() if cut else len(text)
-        words = text[at:end].encode("utf-8", "surrogatepass").lower().split()
-        if len(words) >= MIN_WORDS:
+        words = words_of(text[at:end])
+        line_ends = cut is None or text[cut.start()] == "\n"
+        long = len(words) >= MIN_WORDS
+        if not long:
+            run += words
+        if long or line_ends:
+            stop = at if long else end
             if len(run) >= MIN_WORDS:
-                yield start, at, run
-            yield at, end, words
+                if len(carried) >= MIN_WORDS:
+                    yield begin, start, carried
+                yield start, stop, run
+                carried = []
+            elif run or long or cut is None:
+                begin = begin if carried else start
+                carried = carried + run
+                full = len(carried) >= MOST_CARRIED or crc32(b" ".join(run)) & 1
+                if len(carried) >= MIN_WORDS and (full or long or cut is None):
+                    yield begin, stop, carried
+                    carried = []
+            else:  # an empty line
+                if len(carried) >= MIN_WORDS:
+                    yield begin, start, carried
+                carried = []
+            if long:
+                yield at, end, words
+                carried = []
             run, start = [], end
-        else:
-            run += words
-            if cut is None or text[cut.start()] == "\n":
-                if len(run) >= MIN_WORDS:
-                    yield start, end, run
-                run, start = [], end
         at = end
 
 
