@@ -98,3 +98,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 300)}}
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_columns_named_like_those_used_inside_stay(spark):
+    data = [(i, "the same words in a line that is long enough for a copy", "a", "b", i) for i in (1, 2)]
+    docs = spark.createDataFrame(data, ["doc_id", "text", "_kept_id", "_kept_tie", "_mark"])
+    got = simhash.one_per_component(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r)[2:4] for r in got.collect()} == {("a", "b")}

@@ -256,7 +256,7 @@ def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text")
     The row with the smallest key stays (a null key is the largest), of several with that key the one with the smallest
     hash of its values, and of equal rows one.
     """
-    tie, mark = free_name(docs, "_tie"), free_name(docs, "_mark")
+    tie, mark, kept_id, kept_tie = (free_name(docs, c) for c in ("_tie", "_mark", "_kept_id", "_kept_tie"))
     rest = [F.col(c) for c in docs.columns if c != key]
     tied = docs.withColumn(tie, F.xxhash64(*rest) if rest else F.lit(0).cast("bigint"))
     rows = checkpointed(tied.select(F.col(key).alias("id"), F.col(tie).alias("tie"), fingerprint(F.col(text)).alias("fp")))
@@ -269,11 +269,11 @@ def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text")
     )
     kept = checkpointed(
         named.groupBy("component").agg(F.min_by(F.struct("id", "tie", "rows"), order).alias(mark)).select(f"{mark}.*")
-        .toDF("_kept_id", "_kept_tie", mark)
+        .toDF(kept_id, kept_tie, mark)
     )
 
     def those(part: DataFrame) -> DataFrame:
-        return tied.join(part, F.col(key).eqNullSafe(F.col("_kept_id")) & (F.col(tie) == F.col("_kept_tie")))
+        return tied.join(part, F.col(key).eqNullSafe(F.col(kept_id)) & (F.col(tie) == F.col(kept_tie)))
 
     once = those(kept.filter(F.col(mark) == 1)).select(docs.columns)
     repeated = those(kept.filter(F.col(mark) > 1)).dropDuplicates([key, tie]).select(docs.columns)
