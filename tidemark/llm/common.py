@@ -47,8 +47,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of steps whose results are written and that nothing refers to any more.
 
-    Spark does so when the driver collects garbage, which with little work there may be long after.
+    Spark does so when the driver collects garbage, which with little work there may be long after. The last query stays
+    referred to until another one has run, hence the small one here.
     """
+    spark.range(1).count()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
