@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup
-from tidemark.llm.common import looked_up, shipped, slices
+from tidemark.llm.common import looked_up, shipped, slices, stored
 
 shipped(__name__)
 
@@ -39,7 +39,7 @@ SPACELESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u
 #: Short lines are put together up to this many words.
 MOST_CARRIED = 32
 SEEDS = (11, 12)
-FIELDS = "id {id}, tie bigint, start bigint, stop bigint, h1 bigint, h2 int, words int"
+FIELDS = "id {id}, tie bigint, start bigint, stop bigint, h1 bigint, h2 int, words int, size int, keys array<bigint>"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -132,20 +132,36 @@ def band_keys(sets: list[list[int]], bands: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def places(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every paragraph of every row: its place, and two hashes that name its words."""
+def places(docs: DataFrame, key: str, text: str, bands: int) -> DataFrame:
+    """Every paragraph of every row: its place, two hashes that name its words, ``size`` of the shingle set, and the list ``keys`` of bands.
+
+    The last two are given once for a paragraph that a few rows repeat, and null at its other places.
+    """
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [
-                (i, at, end, *name_of(b" ".join(words)), len(words))
-                for i, text in enumerate(batch.column(2).to_pylist()) for at, end, words in paragraphs(text)
-            ]
+            found, seen, sets = [], set(), []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                for at, end, words in paragraphs(text):
+                    line = b" ".join(words)
+                    name = name_of(line)
+                    found.append((i, at, end, *name, len(words), name not in seen))
+                    if name not in seen:
+                        seen.add(name)
+                        sets.append(shingle_hashes(words, line))
+            if not found:
+                continue
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
             row, *rest = (pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds))
-            columns = [batch.column(0).take(row), batch.column(1).take(row), *rest]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "tie", "start", "stop", "h1", "h2", "words"])
+            signed = np.array([f[6] for f in found])
+            flat = pa.array(band_keys(sets, bands).ravel())
+            ends = np.concatenate([[0], np.cumsum(signed * bands)]).astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(~signed))
+            sizes = iter([len(set(s)) for s in sets])
+            size = pa.array([next(sizes) if f[6] else None for f in found], pa.int32())
+            columns = [batch.column(0).take(row), batch.column(1).take(row), *rest, size, keys]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "tie", "start", "stop", "h1", "h2", "words", "size", "keys"])
 
     return rows.mapInArrow(placed, FIELDS.format(id=rows.schema["id"].dataType.simpleString()))
 
@@ -164,22 +180,6 @@ def _named(lines: dict) -> list[pa.Array]:
     return [pa.array([n[0] for n in lines], pa.int64()), pa.array([n[1] for n in lines], pa.int32())]
 
 
-def band_rows(docs: DataFrame, text: str, bands: int) -> DataFrame:
-    """``h1``, ``h2``, ``size`` of the shingle set and ``key`` of each paragraph and band."""
-
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            lines = _distinct_lines(batch.column(0).to_pylist())
-            if lines:
-                sets = [shingle_hashes(words, line) for line, words in lines.values()]
-                keys = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(sets, bands).ravel()), bands).cast(pa.list_(pa.int64()))
-                size = pa.array([len(set(s)) for s in sets], pa.int32())
-                yield pa.RecordBatch.from_arrays([*_named(lines), size, keys], names=["h1", "h2", "size", "keys"])
-
-    rows = docs.select(text).mapInArrow(signed, "h1 bigint, h2 int, size int, keys array<bigint>")
-    return rows.select("h1", "h2", "size", F.explode("keys").alias("key"))
-
-
 def lines_of(docs: DataFrame, text: str, named: DataFrame) -> DataFrame:
     """``node`` and the joined words ``unit`` of the paragraphs in ``named`` (``node``, ``h1``, ``h2``)."""
 
@@ -225,6 +225,9 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     """
     bands = neardup.tuned(threshold, RECALL, ROWS)
     docs = docs.filter(F.col(text).isNotNull())
-    near = neardup.linked(band_rows(docs, text, bands), lambda named: lines_of(docs, text, named), shingles, threshold)
-    marked = neardup.members(places(docs, key, text), near, key, "start", _long_stretches)
+    # Texts are cut and hashed once.
+    found = stored(places(docs, key, text, bands))
+    rows = found.filter("keys IS NOT NULL").select("h1", "h2", "size", F.explode("keys").alias("key"))
+    near = neardup.linked(rows, lambda named: lines_of(docs, text, named), shingles, threshold)
+    marked = neardup.members(found.drop("size", "keys"), near, key, "start", _long_stretches)
     return marked.select(key, "tie", "start", F.col("stop").alias("end"), "words", "component", "kept")
