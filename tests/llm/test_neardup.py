@@ -56,3 +56,13 @@ def test_few_texts_of_a_crowded_bucket_are_compared(spark, monkeypatch):
         got.setdefault(component, set()).add(h)
     assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
     assert sum(compared) <= similar + 4 * len(units)
+
+
+def test_texts_are_cut_once_and_their_units_looked_up_once(spark, monkeypatch):
+    calls = []
+    plain = paragraphs.lines_of
+    monkeypatch.setattr(paragraphs, "lines_of", lambda *a: calls.append(1) or plain(*a))
+    rows = [(i, t) for i, t in enumerate(variants(12, 1) + variants(12, 4))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert paragraphs.repeated(docs).count() > 0
+    assert len(calls) == 1
