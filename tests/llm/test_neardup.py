@@ -3,7 +3,7 @@
 import random
 
 
-from tidemark.llm import neardup, paragraphs
+from tidemark.llm import lines, neardup, paragraphs
 
 
 def variants(number, edits):
@@ -66,3 +66,27 @@ def test_texts_are_cut_once_and_their_units_looked_up_once(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert paragraphs.repeated(docs).count() > 0
     assert len(calls) == 1
+
+
+def test_few_long_texts_of_a_bucket_are_compared(spark, monkeypatch):
+    """Texts of 1500 windows that share less than half of them, and three near copies of the first."""
+    random.seed(6)
+    letters = lambda n: "".join(random.choices("abcdefghij klmnop", k=n))
+    shared = letters(900)
+    units = [shared + letters(600) for _ in range(30)]
+    units += [units[0][:at] + "#" + units[0][at + 1 :] for at in (100, 500, 1200)]
+    compared = []
+    plain = neardup._similar
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_similar", counted)
+    rows = [(b, h, h % 1000, 1) for h in range(len(units)) for b in range(2)]
+    rows = spark.createDataFrame(rows, "key bigint, h1 bigint, h2 int, size int")
+    texts = spark.createDataFrame([(h, h % 1000, bytearray(u.encode())) for h, u in enumerate(units)], "h1 bigint, h2 int, unit binary")
+    units_of = lambda named: texts.join(named, ["h1", "h2"]).select("node", "unit")
+    found = neardup.linked(rows, units_of, lines.shingles, 0.8, once=True).collect()
+    assert {r.h1 for r in found} == {0, 30, 31, 32} and len({r.component for r in found}) == 1
+    assert sum(compared) <= 6
