@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.stream_queries import with_closing_rows
 from tidemark import session
 from tidemark.operators import joins as batch_joins
 from tidemark.operators import running
@@ -260,3 +261,16 @@ def test_stream_looks_up_a_large_dimension(spark, tmp_path, monkeypatch):
     dim = spark.createDataFrame([("a", "x")], "k STRING, name STRING")
     rows = batch_joins.lookup_join(stream(spark, f"{tmp_path}/in", "k STRING"), dim, "k")
     assert sorted((str(r.k), str(r.name)) for r in run(rows, tmp_path / "out").collect()) == [("None", "None"), ("a", "x"), ("b", "None")]
+
+
+def test_closing_rows_of_a_window_are_equal(spark):
+    """What was seen is kept in state, where pages of one window add a single row for the closing user."""
+    device = "named_struct('ar', ar, 'ba', ba, 'ch', ar, 'md', ba, 'os', ar, 'uid', uid, 'vc', ba)"
+    data = [("u", 1_704_067_200_000 + i, f"a{i}", None if i % 2 else f"b{i}", f"s{i}") for i in range(50)]
+    pages = spark.createDataFrame(data, "uid string, ts bigint, ar string, ba string, search_item string")
+    pages = pages.selectExpr("uid", "ts", f"{device} AS deviceInfo", "search_item")
+    closed = with_closing_rows(pages)
+    assert closed.dtypes == pages.dtypes
+    assert closed.filter("uid = 'u'").exceptAll(pages).isEmpty() and closed.filter("uid = 'u'").count() == 50
+    (later,) = closed.filter("uid != 'u'").distinct().collect()
+    assert later.ts - 3_000 >= 1_704_067_200_000 + 2 * 60_000
